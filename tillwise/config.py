@@ -32,8 +32,9 @@ EVENT_TYPES = {
     "is_religious": "Religious",
 }
 
-# States with benefit-payment days, and their region.
+# States with benefit-payment days, their names and regions.
 STATES = ("CA", "TX", "WI")
+STATE_NAMES = {"CA": "California", "TX": "Texas", "WI": "Wisconsin"}
 STATE_REGION = {"CA": "West", "TX": "South", "WI": "Midwest"}
 
 LAGS = (1, 2, 3, 4, 8, 12, 52)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.config import CHURN_CUTS, CHURN_TIERS, STATE_NAMES
+
 MONEY_UNITS = 10_000
 
 
@@ -89,7 +91,7 @@ def tier(value: Column, cuts: Sequence[float], labels: Sequence[str], right: boo
 
 
 def churn_tier(score: Column) -> Column:
-    return tier(score, (0.25, 0.5, 0.75), ("Low", "Medium", "High", "Critical"))
+    return tier(score, CHURN_CUTS, CHURN_TIERS)
 
 
 def stock_status(weeks: Column) -> Column:
@@ -118,6 +120,13 @@ def product_label(product: Column, category: Column) -> Column:
     return F.concat(F.initcap(family), F.lit(" · Item "), F.element_at(parts, -1))
 
 
+def store_name(store: Column) -> Column:
+    """``CA_1`` reads ``CA_1 — California Store 1``."""
+    parts = F.split(store, "_")
+    state = constant_map(F.get(parts, F.lit(0)), STATE_NAMES)
+    return F.concat(store, F.lit(" — "), state, F.lit(" Store "), F.get(parts, F.lit(1)))
+
+
 def order_key(store: Column, day: Column) -> Column:
     return F.concat_ws("_", store, F.date_format(day, "yyyyMMdd"))
 

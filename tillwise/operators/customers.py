@@ -39,24 +39,30 @@ def invoice_totals(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy(CUSTOMER, "invoice", "invoice_date", "country").agg(*line_totals())
 
 
-def rfm_base(invoices: DataFrame) -> DataFrame:
+def rfm_base(invoices: DataFrame, one_row_per_invoice: bool = False) -> DataFrame:
     """Recency, frequency and spend per customer; staged, one row per customer.
 
     Days count from one week after the last purchase of all. The mean order value is the
-    mean over invoice lines.
+    mean over invoice lines. An invoice split over several dates or countries counts once;
+    the caller may promise that there is none.
     """
-    unique = invoices.groupBy(CUSTOMER, "invoice").agg(
-        F.max("invoice_date").alias("_last"), F.min("invoice_date").alias("_first"),
-        money_sum(F.col("revenue")).alias("revenue"), F.sum("items").alias("items"),
-        F.sum("lines").alias("lines"), F.collect_set("country").alias("_countries"),
-    )
-    per_customer = unique.groupBy(CUSTOMER).agg(
-        F.max("_last").alias("last_purchase"), F.min("_first").alias("first_purchase"),
+    country = F.array_compact(F.array("country"))
+    if not one_row_per_invoice:
+        invoices = invoices.groupBy(CUSTOMER, "invoice").agg(
+            F.max("invoice_date").alias("invoice_date"), F.min("invoice_date").alias("_first"),
+            money_sum(F.col("revenue")).alias("revenue"), F.sum("items").alias("items"),
+            F.sum("lines").alias("lines"), F.collect_set("country").alias("_countries"),
+        )
+        first, country = F.col("_first"), F.col("_countries")
+    else:
+        first = F.col("invoice_date")
+    per_customer = invoices.groupBy(CUSTOMER).agg(
+        F.max("invoice_date").alias("last_purchase"), F.min(first).alias("first_purchase"),
         F.count("invoice").alias("frequency"),
         money_sum(F.col("revenue")).alias("monetary"),
         F.sum("lines").alias("lines"), F.sum("items").alias("total_items"),
         # A set of countries, bounded by their number.
-        F.size(F.array_distinct(F.flatten(F.collect_set("_countries")))).alias("countries"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(country)))).alias("countries"),
     )
     customers = stage(per_customer, "customers")
     end = customers.agg(F.max("last_purchase")).first()[0]

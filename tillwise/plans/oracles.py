@@ -11,6 +11,7 @@ from tillwise.config import (
     EVENT_FLAGS, EVENT_TYPES, FEATURES, LAGS, MAJOR_HOLIDAYS, NAMED_HOLIDAYS, ROLLING,
     SEGMENT_COLOURS, STATES,
 )
+from tillwise.operators.churn import CHURN_FEATURES
 from tillwise.operators.forecast import DEPTH, HORIZON, SEED_LAGS
 from tillwise.plans.queries import HIGH, LOW, TOP_N, WEIGHTS
 from tillwise.sources.star import CALENDAR_AHEAD
@@ -299,7 +300,7 @@ FROM step_{step - 1} t LEFT JOIN calendar k ON k.week = last_week + {7 * step}""
             parts["raw_1"] = f"""
 SELECT t.* EXCLUDE (has_event, has_major_holiday, snap_days), t.week AS last_week, {pred} AS raw,
   coalesce(k.has_event, 0) AS has_event, coalesce(k.has_major_holiday, 0) AS has_major_holiday,
-  {terms['snap_days'].replace('k.week', 'k.week')} AS snap_days
+  {terms['snap_days']} AS snap_days
 FROM step_0 t LEFT JOIN calendar k ON k.week = t.week + 7"""
         parts[f"step_{step}"] = f"""
 SELECT {carried}{done}, greatest(raw, 0) AS p{step}, 0 AS has_event, 0 AS has_major_holiday, 0 AS snap_days,
@@ -485,6 +486,17 @@ SELECT customer_id, monetary AS clv_historical, clv_projected_12m, 'linear_proje
   {_r('weekly_purchase_rate', 'lifespan_weeks')} FROM person""",
     "churn_tiers": """
 SELECT churn_risk, count(*) AS n, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS share_pct FROM person GROUP BY 1""",
+    "churn_label": """
+SELECT customer_id, recency, CAST(recency > 90 AS INTEGER) AS churned FROM base""",
+    "churn_features_std": f"""
+SELECT customer_id, {', '.join(f'round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) + 0.0 AS {c}_std' for c in CHURN_FEATURES)}
+FROM base""",
+    "top_segments": f"""
+SELECT segment, {_money('monetary')} AS revenue FROM person GROUP BY segment ORDER BY revenue DESC, segment LIMIT 5""",
+    "store_names": """
+SELECT DISTINCT store_id, store_id || ' — ' || CASE state WHEN 'CA' THEN 'California' WHEN 'TX' THEN 'Texas' ELSE 'Wisconsin' END
+  || ' Store ' || n_regionkey AS name
+FROM store""",
     "segment_board": f"""
 SELECT segment, count(*) AS customers, {_money('monetary')} AS revenue,
   CASE segment {' '.join(f"WHEN '{s}' THEN '{c}'" for s, c in SEGMENT_COLOURS.items())} END AS colour
@@ -495,7 +507,8 @@ SELECT count(*) AS customers, round({_money('clv_projected_12m')} / count(*), 6)
   count(*) FILTER (WHERE churn_risk IN ('High', 'Critical')) AS high_risk,
   {_money("CASE WHEN churn_risk IN ('High', 'Critical') THEN clv_projected_12m END")} AS revenue_at_risk,
   count(*) FILTER (WHERE segment = 'Champions') AS champions,
-  {_money("CASE WHEN segment = 'Champions' THEN monetary END")} AS champions_revenue
+  {_money("CASE WHEN segment = 'Champions' THEN monetary END")} AS champions_revenue,
+  'linear_projection' AS clv_model
 FROM person""",
     "retention_quadrant": """
 SELECT customer_id, segment, churn_risk_score, clv_projected_12m,

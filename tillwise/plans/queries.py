@@ -9,9 +9,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.config import CHURN_CUTS, CHURN_TIERS, STATE_REGION, CustomerConfig, SplitConfig
+from tillwise.config import STATE_REGION, CustomerConfig, SplitConfig
 from tillwise.functions.columns import (
-    money_sum, product_label, round_doubles, tier, week_start,
+    churn_tier, money_sum, product_label, round_doubles, store_name, week_start,
 )
 from tillwise.operators import calendar as cal
 from tillwise.operators import customers as cust
@@ -22,6 +22,7 @@ from tillwise.operators import panel as pan
 from tillwise.operators import sales
 from tillwise.operators.joins import dim_join
 from tillwise.operators.metrics import regression_metrics, temporal_split
+from tillwise.operators.sampling import bounded_sample
 from tillwise.plans import reports as rep
 from tillwise.sources import star
 from tillwise.sources.tables import coerce, conform, drop_repeated_headers, rejected_rows, stack_vintages
@@ -213,6 +214,12 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.stores_table(star.supplier_stores(spark, sf_dir), STATE_REGION)
 
 
+@query
+def store_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = star.supplier_stores(spark, sf_dir).select("store_id").distinct()
+    return every.withColumn("name", store_name(F.col("store_id")))
+
+
 def _priced_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sales with weekly prices attached and gaps filled, in chunks of 200 days."""
     day_number = F.datediff("date", F.lit(date(1995, 1, 2)))
@@ -387,7 +394,7 @@ def union_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cust.rfm_base(star.invoices(spark, sf_dir))
+    return cust.rfm_base(star.invoices(spark, sf_dir), one_row_per_invoice=True)
 
 
 @query
@@ -433,7 +440,7 @@ def _customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.round(F.col("recency") / (F.col("recency") + CustomerConfig().churn_days), 3)
     return stage(
         cust.add_linear_clv(segments).withColumn("churn_risk_score", score).withColumn(
-            "churn_risk", tier(F.col("churn_risk_score"), CHURN_CUTS, CHURN_TIERS)
+            "churn_risk", churn_tier(F.col("churn_risk_score"))
         ),
         "customer-table",
     )
@@ -449,6 +456,11 @@ def segment_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rep.segment_board(_customer_table(spark, sf_dir))
 
 
+@query
+def top_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rep.top_segments(_customer_table(spark, sf_dir))
+
+
 @query
 def customer_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rep.customer_kpis(_customer_table(spark, sf_dir))
@@ -463,7 +475,7 @@ def retention_quadrant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def customer_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample = rep.bounded_sample(_customer_table(spark, sf_dir), "customer_id", 600)
+    sample = bounded_sample(_customer_table(spark, sf_dir), ["customer_id"], 600)
     return sample.select("customer_id", "segment", "churn_risk_score", "clv_projected_12m")
 
 
@@ -567,7 +579,12 @@ def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     cover = stage(p.inventory, "cover")
     ahead = p.valued_forecast
     weekly = stage(rep.weekly_revenue(p.daily, 52), "weekly-revenue")
+    scored = p.scorer(temporal_split(p.features, config=SPLIT).where("split <> 'Train'"))
+    grains = rep.revenue_grains(p.daily)
     return rep.report_payload({
+        "total": (grains.where("grain = 'total'"), ["revenue"]),
+        "stores": (store_names(spark, sf_dir), ["store_id", "name"], ["store_id"]),
+        "model_metrics": (regression_metrics(scored), ["split", "r2", "mae", "rmse", "mape"], ["split"]),
         "revenue": (rep.revenue_kpis(weekly), ["this_week", "wow_pct", "last_four_weeks"]),
         "weekly": (weekly, ["label", "revenue"], ["week"]),
         "monthly": (rep.monthly_revenue(p.daily, 24), ["label", "revenue", "growth_pct"], ["month"]),
@@ -582,9 +599,10 @@ def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         "critical_by_store": (stock.critical_by_store(cover, p.stores), ["store_id", "critical"], ["store_id"]),
         "critical_items": (stock.critical_items(cover, p.prices),
                            ["rank", "product", "store_id", "weeks_to_stockout", "demand", "price", "priority"], ["rank"]),
-        "customers": (rep.customer_kpis(people), ["customers", "avg_clv", "median_clv", "high_risk", "revenue_at_risk", "champions"]),
+        "customers": (rep.customer_kpis(people), ["customers", "avg_clv", "median_clv", "high_risk", "revenue_at_risk",
+                                                   "champions", "clv_model"]),
         "segments": (rep.segment_board(people), ["segment", "customers", "revenue", "colour"], ["segment"]),
-        "value_by_risk": (rep.retention_quadrant(rep.bounded_sample(people, "customer_id", 600)),
+        "value_by_risk": (rep.retention_quadrant(bounded_sample(people, ["customer_id"], 600)),
                           ["segment", "churn_risk_score", "clv_projected_12m"], ["customer_id"]),
     })
 

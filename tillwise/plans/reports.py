@@ -167,7 +167,7 @@ def model_card(metrics: DataFrame, importance: DataFrame, n: int = 10) -> DataFr
 # ---- customers -----------------------------------------------------------------------
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value and their share in percent."""
+    """Rows per value of a column with few values, and their share in percent."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     return counts.withColumn("share_pct", F.col("n") / F.sum("n").over(W.partitionBy()) * 100)
 
@@ -179,6 +179,12 @@ def segment_board(customers: DataFrame) -> DataFrame:
     ).withColumn("colour", F.coalesce(constant_map(F.col("segment"), SEGMENT_COLOURS), F.lit("#526070")))
 
 
+def top_segments(customers: DataFrame, n: int = 5) -> DataFrame:
+    """Segments of highest revenue."""
+    revenue = segment_board(customers).select("segment", "revenue")
+    return revenue.orderBy(F.desc("revenue"), "segment").limit(n)
+
+
 def customer_kpis(customers: DataFrame) -> DataFrame:
     """Customer headline numbers in one row; the median is exact and distributed."""
     risky = F.col("churn_risk").isin("High", "Critical")
@@ -191,15 +197,10 @@ def customer_kpis(customers: DataFrame) -> DataFrame:
         money_sum(F.when(risky, F.col("clv_projected_12m"))).alias("revenue_at_risk"),
         F.count_if(F.col("segment") == "Champions").alias("champions"),
         money_sum(F.when(F.col("segment") == "Champions", F.col("monetary"))).alias("champions_revenue"),
+        F.max("clv_model_type").alias("clv_model"),  # one value for all rows
     )
 
 
-def bounded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """At most ``n`` rows, the same for any partitioning: those of smallest key hash."""
-    order = F.xxhash64(F.col(key), F.lit(seed))
-    return df.orderBy(order, key).limit(n)
-
-
 def retention_quadrant(
     customers: DataFrame, trim: float = 0.97, risk: float = 0.5
 ) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillwise.config import STATES
 from tillwise.functions.columns import order_key, week_start
+from tillwise.operators.customers import line_totals
 from tillwise.operators.joins import dim_join
 
 # Days the calendar goes on after the last sale.
@@ -180,7 +181,7 @@ def transactions(spark: SparkSession, sf_dir: str, returns: bool = False) -> Dat
          if returns else invoice).alias("invoice"),
         F.col("o_orderdate").alias("invoice_date"),
     )
-    return lines.join(orders, "o_orderkey").select(
+    return dim_join(lines, orders, "o_orderkey", "inner").select(
         "invoice", "customer_id", "invoice_date", "quantity", "price"
     )
 
@@ -188,8 +189,6 @@ def transactions(spark: SparkSession, sf_dir: str, returns: bool = False) -> Dat
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice totals, aggregated below the join: an order with very many lines reaches
     the shuffle as one partial row per task, and the join is one row to one row."""
-    from tillwise.operators.customers import line_totals
-
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.col("l_quantity").cast("long").alias("quantity"),
