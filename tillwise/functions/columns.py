@@ -132,9 +132,10 @@ def order_key(store: Column, day: Column) -> Column:
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every floating-point column, for output and comparison."""
+    """Round every floating-point column half-even in binary, without negative zeros."""
+    scale = float(10**digits)
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
+        (F.rint(F.col(f.name) * scale) / scale + 0.0).alias(f.name)
         if f.dataType.typeName() in ("double", "float") else F.col(f.name)
         for f in df.schema.fields
     ])

@@ -23,7 +23,7 @@ def _money(amount: str) -> str:
 
 def _r(*columns: str) -> str:
     """Rounded output columns, without negative zeros."""
-    return ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in columns)
+    return ", ".join(f"round_even({c}, 6) + 0.0 AS {c}" for c in columns)
 
 
 def _text(*names: str) -> str:
@@ -204,7 +204,7 @@ FROM feature f WHERE f.week >= (SELECT max(week) FROM feature) - 56 GROUP BY f.p
     "cover": """
 SELECT *, CASE WHEN weeks_to_stockout <= 2 THEN 'Critical' WHEN weeks_to_stockout <= 4 THEN 'Warning' ELSE 'Safe' END AS status
 FROM (SELECT *, round_even(current_stock / avg_weekly_qty, 1) AS weeks_to_stockout
-  FROM (SELECT *, round(avg_weekly_qty * (1.0::DOUBLE + CAST((CAST(split_part(product_id, '_', 3) AS INTEGER) * 31
+  FROM (SELECT *, round_even(avg_weekly_qty * (1.0::DOUBLE + CAST((CAST(split_part(product_id, '_', 3) AS INTEGER) * 31
       + CAST(split_part(store_id, '_', 2) AS INTEGER) * 17) % 71 AS DOUBLE) / 10), 1) AS current_stock
     FROM inventory WHERE avg_weekly_qty >= 1))""",
     "panel_price": """
@@ -242,7 +242,7 @@ FROM score""",
     "person": """
 SELECT *, CASE WHEN churn_risk_score < 0.25 THEN 'Low' WHEN churn_risk_score < 0.5 THEN 'Medium'
   WHEN churn_risk_score < 0.75 THEN 'High' ELSE 'Critical' END AS churn_risk
-FROM (SELECT *, round(recency / (recency + 90.0::DOUBLE), 3) AS churn_risk_score,
+FROM (SELECT *, round_even(recency / (recency + 90.0::DOUBLE), 3) AS churn_risk_score,
   round_even(weekly_purchase_rate * avg_order_value * 52 / 1.1::DOUBLE, 2) AS clv_projected_12m FROM segmented)""",
     # ---- revenue
     "store_day": f"""
@@ -321,15 +321,15 @@ PARTS["valued"] = """
 SELECT f.*, dept_id, cat_id, median_price, forecast_qty * median_price AS forecast_revenue,
   forecast_lower * median_price AS forecast_revenue_lower, forecast_upper * median_price AS forecast_revenue_upper
 FROM forecast f LEFT JOIN panel_price USING (product_id)"""
-PARTS["forecast_week_total"] = """
-SELECT forecast_week, sum(forecast_revenue) AS revenue, sum(forecast_revenue_lower) AS revenue_lower,
-  sum(forecast_revenue_upper) AS revenue_upper, CAST(row_number() OVER (ORDER BY forecast_week) AS INTEGER) AS step
+PARTS["forecast_week_total"] = f"""
+SELECT forecast_week, {_money('forecast_revenue')} AS revenue, {_money('forecast_revenue_lower')} AS revenue_lower,
+  {_money('forecast_revenue_upper')} AS revenue_upper, CAST(row_number() OVER (ORDER BY forecast_week) AS INTEGER) AS step
 FROM valued GROUP BY forecast_week"""
-PARTS["store_cat"] = """
+PARTS["store_cat"] = f"""
 SELECT *, quantile_cont(qty, 0.5) OVER (PARTITION BY store_id, cat_id) AS median_qty,
   CAST(row_number() OVER (PARTITION BY store_id, cat_id ORDER BY forecast_week) AS INTEGER) AS step
-FROM (SELECT store_id, cat_id, forecast_week, sum(forecast_qty) AS qty, sum(forecast_lower) AS qty_lower,
-    sum(forecast_upper) AS qty_upper, sum(forecast_revenue) AS revenue
+FROM (SELECT store_id, cat_id, forecast_week, {_money('forecast_qty')} AS qty, {_money('forecast_lower')} AS qty_lower,
+    {_money('forecast_upper')} AS qty_upper, {_money('forecast_revenue')} AS revenue
   FROM valued GROUP BY 1, 2, 3)"""
 PARTS["scored"] = f"""
 SELECT *, greatest(raw, 0) AS pred, greatest({_terms(LOW).replace('pred', 'raw')}, 0) AS pred_lo,
@@ -357,11 +357,11 @@ def _with(body: str, forecast: dict[str, str] = SEED_DEQUE) -> str:
     return f"WITH {heads}\n{body.strip()}" if heads else body.strip()
 
 
-_ERRORS = f"""count(*) AS rows, round(avg(abs(quantity - pred)), 6) AS mae,
-  round(sqrt(avg((quantity - pred) * (quantity - pred))), 6) AS rmse,
-  round(avg(CASE WHEN quantity > 0 THEN abs(quantity - pred) / quantity END) * 100, 6) AS mape,
-  round(CASE WHEN var_pop(quantity) > 0 THEN 1 - avg((quantity - pred) * (quantity - pred)) / var_pop(quantity) END, 6) AS r2,
-  round(avg(CAST(quantity >= pred_lo AND quantity <= pred_hi AS INTEGER)) * 100, 6) AS interval_coverage_80pct"""
+_ERRORS = f"""count(*) AS rows, round_even(avg(abs(quantity - pred)), 6) AS mae,
+  round_even(sqrt(avg((quantity - pred) * (quantity - pred))), 6) AS rmse,
+  round_even(avg(CASE WHEN quantity > 0 THEN abs(quantity - pred) / quantity END) * 100, 6) AS mape,
+  round_even(CASE WHEN var_pop(quantity) > 0 THEN 1 - avg((quantity - pred) * (quantity - pred)) / var_pop(quantity) END, 6) AS r2,
+  round_even(avg(CAST(quantity >= pred_lo AND quantity <= pred_hi AS INTEGER)) * 100, 6) AS interval_coverage_80pct"""
 _KEYS = "product_id, store_id, week"
 _TEXT_LINES = """(SELECT CASE WHEN l_linenumber = 6 THEN 'flag' ELSE l_returnflag END AS flag,
     CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS quantity, l_extendedprice AS amount
@@ -374,14 +374,13 @@ SELECT CASE WHEN o_orderstatus = 'P' THEN 'C' || o_orderkey ELSE CAST(o_orderkey
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 _LINE_ITEM = """
 SELECT p.store_id || '_' || strftime(p.date, '%Y%m%d') AS order_id, p.store_id, p.date AS order_date,
-  p.item_id AS product_id, p.quantity, round(p.unit_price, 6) AS unit_price,
-  round(p.quantity * p.unit_price, 6) AS total_line"""
+  p.item_id AS product_id, p.quantity, round_even(p.unit_price, 6) AS unit_price,
+  round_even(p.quantity * p.unit_price, 6) AS total_line"""
 
 ORACLES: dict[str, str] = {
     "scan_conform": """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
-  round(o_totalprice, 6) AS total_amount, TRY_CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS priority,
-  TRY_CAST(o_orderstatus AS INTEGER) AS status_code, 'store' AS channel
+  round_even(o_totalprice, 6) AS total_amount, TRY_CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS priority, 'store' AS channel
 FROM orders WHERE o_orderdate IS NOT NULL""",
     "coerce_lines": f"""
 SELECT flag, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS units, {_money('amount')} AS amount
@@ -396,7 +395,7 @@ FROM line""",
 SELECT item_id, store_id, 'd_' || day(date) AS d, CAST(sum(quantity) AS BIGINT) AS quantity
 FROM sale GROUP BY 1, 2, 3 HAVING sum(quantity) > 0""",
     "products": """
-SELECT p_partkey AS product_id, p_brand AS dept_id, p_type AS cat_id, round(median_price, 6) AS median_price,
+SELECT p_partkey AS product_id, p_brand AS dept_id, p_type AS cat_id, round_even(median_price, 6) AS median_price,
   price_min, price_max
 FROM (SELECT DISTINCT p_partkey, p_brand, p_type FROM part) LEFT JOIN (
   SELECT item_id, quantile_cont(sell_price, 0.5) AS median_price, min(sell_price) AS price_min, max(sell_price) AS price_max
@@ -405,23 +404,23 @@ FROM (SELECT DISTINCT p_partkey, p_brand, p_type FROM part) LEFT JOIN (
 SELECT DISTINCT store_id, state, CASE state WHEN 'CA' THEN 'West' WHEN 'TX' THEN 'South' ELSE 'Midwest' END AS region
 FROM store""",
     "price_impute": """
-SELECT store_id, item_id, date, chunk, quantity, round(unit_price, 6) AS unit_price FROM priced""",
+SELECT store_id, item_id, date, chunk, quantity, round_even(unit_price, 6) AS unit_price FROM priced""",
     "line_items": f"""{_LINE_ITEM}, event_name_1, event_type_1, snap_CA, snap_TX, snap_WI
 FROM priced p LEFT JOIN day ON p.date = day.date""",
     "store_day_orders": f"""
 SELECT store_id || '_' || strftime(date, '%Y%m%d') AS order_id, store_id, date AS order_date,
-  round({_money('quantity * unit_price')}, 6) AS total_amount, CAST(sum(quantity) AS BIGINT) AS total_units,
+  round_even({_money('quantity * unit_price')}, 6) AS total_amount, CAST(sum(quantity) AS BIGINT) AS total_units,
   count(DISTINCT item_id) AS n_items
 FROM priced GROUP BY store_id, date""",
     "top_products": f"""
 SELECT l_partkey AS item_id, {_money('l_quantity * (' + _UNIT_PRICE + ')')} AS revenue
 FROM lineitem GROUP BY 1 ORDER BY revenue DESC, item_id LIMIT 200""",
     "top_coverage": f"""
-SELECT round(sum(CASE WHEN rn <= 200 THEN revenue END) / sum(revenue), 6) AS coverage
+SELECT round_even(sum(CASE WHEN rn <= 200 THEN revenue END) / sum(revenue), 6) AS coverage
 FROM (SELECT *, row_number() OVER (ORDER BY revenue DESC, item_id) AS rn
   FROM (SELECT l_partkey AS item_id, {_money('l_quantity * (' + _UNIT_PRICE + ')')} AS revenue FROM lineitem GROUP BY 1))""",
     "weekly_calendar": "SELECT * FROM calendar",
-    "average_snap": f"SELECT {', '.join(f'round(avg(snap_{s}) * 7, 6) AS snap_days_{s}' for s in STATES)} FROM day",
+    "average_snap": f"SELECT {', '.join(f'round_even(avg(snap_{s}) * 7, 6) AS snap_days_{s}' for s in STATES)} FROM day",
     "weekly_agg": f"SELECT {_KEYS}, quantity, {_r('revenue', 'unit_price')} FROM weekly",
     "weekly_panel": f"SELECT {_KEYS}, quantity, {_r('revenue', 'unit_price')} FROM panel",
     "feat_lags": f"SELECT {_KEYS}, {', '.join(f'lag_{k}' for k in LAGS)} FROM featured",
@@ -444,7 +443,7 @@ SELECT count(*) FILTER (WHERE status = 'Critical') AS critical, count(*) FILTER
   count(*) FILTER (WHERE status = 'Safe') AS safe, count(*) AS total,
   round_even(count(*) FILTER (WHERE status = 'Safe') / count(*) * 100, 1) AS safe_pct
 FROM cover""",
-    "category_cover": "SELECT cat_id, round(avg(weeks_to_stockout), 6) AS mean_weeks FROM cover GROUP BY cat_id",
+    "category_cover": "SELECT cat_id, round_even(avg(weeks_to_stockout), 6) AS mean_weeks FROM cover GROUP BY cat_id",
     "critical_by_store": """
 SELECT s.store_id, count(c.product_id) AS critical
 FROM (SELECT DISTINCT store_id FROM store) s LEFT JOIN (SELECT * FROM cover WHERE status = 'Critical') c
@@ -452,13 +451,13 @@ ON s.store_id = c.store_id GROUP BY s.store_id""",
     "inventory_board": f"""
 SELECT CAST(rank AS INTEGER) AS rank, product_id, {_LABEL} AS product, cat_id, store_id,
   weeks_to_stockout, round_even(avg_weekly_qty, 1) AS demand, round_even(round_even(avg_weekly_qty, 1) * 12, 0) AS demand_ahead,
-  round(coalesce(median_price, 0), 6) AS price,
+  round_even(coalesce(median_price, 0), 6) AS price,
   CASE WHEN weeks_to_stockout <= 1 THEN 'CRITICAL' ELSE 'WARNING' END AS priority
 FROM (SELECT c.*, median_price, row_number() OVER (ORDER BY weeks_to_stockout, c.product_id, store_id) AS rank
   FROM cover c LEFT JOIN panel_price p ON c.product_id = p.product_id WHERE status = 'Critical')
 WHERE rank <= 20""",
     "clean_transactions": f"""
-SELECT *, round(quantity * price, 6) AS revenue FROM ({_ORDER_TX})
+SELECT *, round_even(quantity * price, 6) AS revenue FROM ({_ORDER_TX})
 WHERE customer_id IS NOT NULL AND quantity > 0 AND price > 0 AND NOT starts_with(invoice, 'C')""",
     "union_vintages": f"""
 SELECT o_custkey AS customer_id, count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS items,
@@ -473,23 +472,23 @@ SELECT customer_id, frequency, monetary, total_items, countries, recency,
 SELECT customer_id, recency, frequency, monetary, {_r('avg_order_value')}, total_items, R, F, M, rfm_score, rfm_total, segment
 FROM segmented""",
     "segment_counts": """
-SELECT segment, count(*) AS n, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS share_pct FROM segmented GROUP BY segment""",
+SELECT segment, count(*) AS n, round_even(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS share_pct FROM segmented GROUP BY segment""",
     "repeat_summary": f"""
 SELECT customer_id, count(*) - 1 AS frequency,
   CAST(date_diff('day', min(w), max(w)) AS DOUBLE) / 7 AS recency,
   CAST(date_diff('day', min(w), CAST(date_trunc('week', (SELECT max(invoice_date) FROM bill) + INTERVAL 7 DAY) AS DATE)) AS DOUBLE) / 7 AS T,
-  round(coalesce((sum(spend) - arg_min(spend, w)) / nullif(count(*) - 1, 0), 0), 6) AS monetary_value
+  round_even(coalesce((sum(spend) - arg_min(spend, w)) / nullif(count(*) - 1, 0), 0), 6) AS monetary_value
 FROM (SELECT customer_id, CAST(date_trunc('week', invoice_date) AS DATE) AS w, {_money('revenue')} AS spend FROM bill GROUP BY 1, 2)
 GROUP BY customer_id""",
     "clv_linear": f"""
 SELECT customer_id, monetary AS clv_historical, clv_projected_12m, 'linear_projection' AS clv_model_type,
   {_r('weekly_purchase_rate', 'lifespan_weeks')} FROM person""",
     "churn_tiers": """
-SELECT churn_risk, count(*) AS n, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS share_pct FROM person GROUP BY 1""",
+SELECT churn_risk, count(*) AS n, round_even(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS share_pct FROM person GROUP BY 1""",
     "churn_label": """
 SELECT customer_id, recency, CAST(recency > 90 AS INTEGER) AS churned FROM base""",
     "churn_features_std": f"""
-SELECT customer_id, {', '.join(f'round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) + 0.0 AS {c}_std' for c in CHURN_FEATURES)}
+SELECT customer_id, {', '.join(f'round_even(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) + 0.0 AS {c}_std' for c in CHURN_FEATURES)}
 FROM base""",
     "top_segments": f"""
 SELECT segment, {_money('monetary')} AS revenue FROM person GROUP BY segment ORDER BY revenue DESC, segment LIMIT 5""",
@@ -502,8 +501,8 @@ SELECT segment, count(*) AS customers, {_money('monetary')} AS revenue,
   CASE segment {' '.join(f"WHEN '{s}' THEN '{c}'" for s, c in SEGMENT_COLOURS.items())} END AS colour
 FROM person GROUP BY segment""",
     "customer_kpis": f"""
-SELECT count(*) AS customers, round({_money('clv_projected_12m')} / count(*), 6) AS avg_clv,
-  round(quantile_cont(clv_projected_12m, 0.5), 6) AS median_clv,
+SELECT count(*) AS customers, round_even({_money('clv_projected_12m')} / count(*), 6) AS avg_clv,
+  round_even(quantile_cont(clv_projected_12m, 0.5), 6) AS median_clv,
   count(*) FILTER (WHERE churn_risk IN ('High', 'Critical')) AS high_risk,
   {_money("CASE WHEN churn_risk IN ('High', 'Critical') THEN clv_projected_12m END")} AS revenue_at_risk,
   count(*) FILTER (WHERE segment = 'Champions') AS champions,
@@ -521,38 +520,38 @@ FROM (SELECT *, quantile_cont(clv_projected_12m, 0.5) OVER () AS mid
 SELECT * REPLACE ({_r('median_price', 'forecast_revenue', 'forecast_revenue_lower', 'forecast_revenue_upper')}) FROM valued""",
     "forecast_weeks": f"""
 SELECT forecast_week, {_r('revenue', 'revenue_lower', 'revenue_upper')}, step, 'W+' || step AS label FROM forecast_week_total""",
-    "forecast_summary": """
-SELECT round(sum(revenue), 6) AS total, round(avg(revenue), 6) AS weekly_mean,
+    "forecast_summary": f"""
+SELECT round_even({_money('revenue')}, 6) AS total, round_even({_money('revenue')} / count(*), 6) AS weekly_mean,
   (SELECT step FROM forecast_week_total ORDER BY revenue DESC, step LIMIT 1) AS peak_week
 FROM forecast_week_total""",
     "forecast_by_store_cat": f"""
 SELECT store_id, cat_id, forecast_week, {_r('qty', 'qty_lower', 'qty_upper', 'revenue')}, step, {_r('median_qty')},
-  round(greatest(qty, median_qty), 6) AS high_qty, round(qty - greatest(qty, median_qty), 6) + 0.0 AS base_qty
+  round_even(greatest(qty, median_qty), 6) AS high_qty, round_even(qty - greatest(qty, median_qty), 6) + 0.0 AS base_qty
 FROM store_cat""",
-    "store_category_block": """
-SELECT store_id, cat_id, round(sum(revenue), 6) AS revenue, round(avg(qty), 6) AS avg_qty,
+    "store_category_block": f"""
+SELECT store_id, cat_id, round_even({_money('revenue')}, 6) AS revenue, round_even({_money('qty')} / count(*), 6) AS avg_qty,
   arg_max(step, qty * 1e6 - step) AS peak_week, CAST(count(*) AS INTEGER) AS weeks
 FROM store_cat GROUP BY store_id, cat_id""",
     "top_forecast": f"""
-SELECT product_id, cat_id, round(revenue, 6) AS revenue,
+SELECT product_id, cat_id, round_even(revenue, 6) AS revenue,
   CAST(row_number() OVER (ORDER BY revenue DESC, product_id) AS INTEGER) AS rank, {_LABEL} AS name
-FROM (SELECT product_id, cat_id, sum(forecast_revenue) AS revenue FROM valued GROUP BY 1, 2 ORDER BY 3 DESC, 1 LIMIT 5)""",
+FROM (SELECT product_id, cat_id, {_money('forecast_revenue')} AS revenue FROM valued GROUP BY 1, 2 ORDER BY 3 DESC, 1 LIMIT 5)""",
     "forecast_metrics": f"SELECT split, {_ERRORS} FROM scored WHERE split <> 'Train' GROUP BY split",
     "category_metrics": f"SELECT cat_id, {_ERRORS} FROM scored WHERE split = 'Test' GROUP BY cat_id",
     "weekly_revenue": f"""
-SELECT week, revenue, round((revenue - before) / before * 100, 6) AS wow_pct, strftime(week, '%d %b ''%y') AS label
+SELECT week, revenue, round_even((revenue - before) / before * 100, 6) AS wow_pct, strftime(week, '%d %b ''%y') AS label
 FROM (SELECT *, lag(revenue) OVER (ORDER BY week) AS before
   FROM (SELECT week, {_money('quantity * unit_price')} AS revenue FROM line JOIN top USING (product_id) GROUP BY week))
 ORDER BY week DESC LIMIT 52""",
     "weekly_revenue_all": """
-SELECT week, revenue, round((revenue - before) / before * 100, 6) AS wow_pct, strftime(week, '%d %b ''%y') AS label
+SELECT week, revenue, round_even((revenue - before) / before * 100, 6) AS wow_pct, strftime(week, '%d %b ''%y') AS label
 FROM (SELECT *, lag(revenue) OVER (ORDER BY week) AS before FROM week_revenue)""",
-    "revenue_kpis": """
-SELECT arg_max(revenue, week) AS this_week, round(arg_max((revenue - before) / before * 100, week), 6) AS wow_pct,
-  round(sum(revenue), 6) AS last_four_weeks
+    "revenue_kpis": f"""
+SELECT arg_max(revenue, week) AS this_week, round_even(arg_max((revenue - before) / before * 100, week), 6) AS wow_pct,
+  {_money('revenue')} AS last_four_weeks
 FROM (SELECT *, lag(revenue) OVER (ORDER BY week) AS before FROM week_revenue ORDER BY week DESC LIMIT 4)""",
     "monthly_revenue": """
-SELECT month, revenue, round((revenue - before) / before * 100, 6) AS growth_pct, strftime(month, '%b ''%y') AS label
+SELECT month, revenue, round_even((revenue - before) / before * 100, 6) AS growth_pct, strftime(month, '%b ''%y') AS label
 FROM (SELECT *, lag(revenue) OVER (ORDER BY month) AS before FROM month_revenue) ORDER BY month DESC LIMIT 24""",
     "region_share": f"""
 SELECT state, revenue, round_even(revenue / sum(revenue) OVER () * 100, 1) AS share_pct

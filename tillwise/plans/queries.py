@@ -136,7 +136,7 @@ def stock_on_hand(base: DataFrame) -> DataFrame:
     number = F.element_at(F.split("product_id", "_"), -1).cast("int")
     store = F.element_at(F.split("store_id", "_"), -1).cast("int")
     weeks = F.lit(1.0) + ((number * 31 + store * 17) % 71) / 10.0
-    return base.select("product_id", "store_id", F.round(F.col("avg_weekly_qty") * weeks, 1).alias("current_stock"))
+    return base.select("product_id", "store_id", F.bround(F.col("avg_weekly_qty") * weeks, 1).alias("current_stock"))
 
 
 # ---- sources and sales tables --------------------------------------------------------
@@ -147,9 +147,9 @@ def scan_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     shaped = conform(
         raw,
         {"order_id": "bigint", "customer_id": "bigint", "order_date": "date", "total_amount": "double",
-         "priority": "int", "status_code": "int", "channel": "string"},
+         "priority": "int", "channel": "string"},
         aliases={"o_orderkey": "order_id", "o_custkey": "customer_id", "o_orderdate": "order_date",
-                 "o_totalprice": "total_amount", "o_orderstatus": "status_code"},
+                 "o_totalprice": "total_amount"},
         defaults={"channel": "store"},
     )
     return shaped.dropna(subset=["order_date"])
@@ -437,7 +437,7 @@ def _customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segmented customers with linear value and a churn score by formula, so that SQL can
     repeat the boards; ``customer_summary`` holds the modelled scores."""
     segments = cust.rfm_segments(cust.rfm_scores(_base(spark, sf_dir)))
-    score = F.round(F.col("recency") / (F.col("recency") + CustomerConfig().churn_days), 3)
+    score = F.bround(F.col("recency") / (F.col("recency") + CustomerConfig().churn_days), 3)
     return stage(
         cust.add_linear_clv(segments).withColumn("churn_risk_score", score).withColumn(
             "churn_risk", churn_tier(F.col("churn_risk_score"))

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.config import SEGMENT_COLOURS
-from tillwise.functions.columns import constant_map, money_sum, month_start, product_label, week_start
+from tillwise.functions.columns import constant_map, money_mean, money_sum, month_start, product_label, week_start
 from tillwise.operators.ranks import exact_quantiles
 from tillwise.staging import stage
 
@@ -68,7 +68,7 @@ def revenue_kpis(weekly: DataFrame) -> DataFrame:
     newest = last_periods(weekly, "week", 4)
     return newest.agg(
         F.max_by("revenue", "week").alias("this_week"), F.max_by("wow_pct", "week").alias("wow_pct"),
-        F.sum("revenue").alias("last_four_weeks"),
+        money_sum(F.col("revenue")).alias("last_four_weeks"),
     )
 
 
@@ -92,9 +92,9 @@ def state_share(daily: DataFrame, digits: int = 1) -> DataFrame:
 def forecast_weeks(forecasts: DataFrame) -> DataFrame:
     """Forecast revenue per week with its position label."""
     weekly = forecasts.groupBy("forecast_week").agg(
-        F.sum("forecast_revenue").alias("revenue"),
-        F.sum("forecast_revenue_lower").alias("revenue_lower"),
-        F.sum("forecast_revenue_upper").alias("revenue_upper"),
+        money_sum(F.col("forecast_revenue")).alias("revenue"),
+        money_sum(F.col("forecast_revenue_lower")).alias("revenue_lower"),
+        money_sum(F.col("forecast_revenue_upper")).alias("revenue_upper"),
     )
     place = F.row_number().over(W.orderBy("forecast_week"))  # a row per forecast week
     return weekly.withColumn("step", place).withColumn("label", F.concat(F.lit("W+"), F.col("step")))
@@ -108,7 +108,7 @@ def _peak(value: str, step: str = "step") -> Column:
 def forecast_summary(forecasts: DataFrame) -> DataFrame:
     """Total and mean weekly revenue ahead and the peak week; one row."""
     return forecast_weeks(forecasts).agg(
-        F.sum("revenue").alias("total"), F.avg("revenue").alias("weekly_mean"), _peak("revenue").alias("peak_week")
+        money_sum(F.col("revenue")).alias("total"), money_mean(F.col("revenue")).alias("weekly_mean"), _peak("revenue").alias("peak_week")
     )
 
 
@@ -118,8 +118,8 @@ def store_category_weeks(forecasts: DataFrame) -> DataFrame:
     ``base_qty`` the rest to the quantity, so never positive."""
     group = ["store_id", "cat_id"]
     weekly = forecasts.groupBy(*group, "forecast_week").agg(
-        F.sum("forecast_qty").alias("qty"), F.sum("forecast_lower").alias("qty_lower"),
-        F.sum("forecast_upper").alias("qty_upper"), F.sum("forecast_revenue").alias("revenue"),
+        money_sum(F.col("forecast_qty")).alias("qty"), money_sum(F.col("forecast_lower")).alias("qty_lower"),
+        money_sum(F.col("forecast_upper")).alias("qty_upper"), money_sum(F.col("forecast_revenue")).alias("revenue"),
     )
     # A partition holds the forecast weeks of one store and category.
     median = F.percentile("qty", 0.5).over(W.partitionBy(*group))
@@ -133,7 +133,7 @@ def store_category_weeks(forecasts: DataFrame) -> DataFrame:
 def store_category_block(forecasts: DataFrame) -> DataFrame:
     """Per store and category: revenue, mean weekly quantity and peak week."""
     return store_category_weeks(forecasts).groupBy("store_id", "cat_id").agg(
-        F.sum("revenue").alias("revenue"), F.avg("qty").alias("avg_qty"), _peak("qty").alias("peak_week"),
+        money_sum(F.col("revenue")).alias("revenue"), money_mean(F.col("qty")).alias("avg_qty"), _peak("qty").alias("peak_week"),
         F.count("*").cast("int").alias("weeks"),
     )
 
@@ -141,7 +141,7 @@ def store_category_block(forecasts: DataFrame) -> DataFrame:
 def top_products(forecasts: DataFrame, n: int = 5) -> DataFrame:
     """Products of highest forecast revenue with rank and readable name."""
     order = [F.desc("revenue"), F.asc("product_id")]
-    top = forecasts.groupBy("product_id", "cat_id").agg(F.sum("forecast_revenue").alias("revenue")) \
+    top = forecasts.groupBy("product_id", "cat_id").agg(money_sum(F.col("forecast_revenue")).alias("revenue")) \
         .orderBy(*order).limit(n)
     return top.withColumn("rank", F.row_number().over(W.orderBy(*order))).withColumn(
         "name", product_label(F.col("product_id"), F.col("cat_id"))
