@@ -18,7 +18,7 @@ from tillwise.sources.star import CALENDAR_AHEAD
 
 
 def _money(amount: str) -> str:
-    return f"(CAST(coalesce(sum(CAST(round(({amount}) * 10000) AS BIGINT)), 0) AS DOUBLE) / 10000)"
+    return f"(CAST(coalesce(sum(CAST(round_even(({amount}) * 10000, 0) AS BIGINT)), 0) AS DOUBLE) / 10000)"
 
 
 def _r(*columns: str) -> str:
@@ -70,7 +70,7 @@ SELECT product_id FROM total ORDER BY revenue DESC, product_id LIMIT {TOP_N}""",
     "weekly": f"""
 SELECT product_id, store_id, week, CAST(sum(quantity) AS BIGINT) AS quantity,
   {_money('quantity * unit_price')} AS revenue,
-  CAST(sum(CAST(round(unit_price * 10000) AS BIGINT)) AS DOUBLE) / 10000 / count(unit_price) AS unit_price
+  CAST(sum(CAST(round_even(unit_price * 10000, 0) AS BIGINT)) AS DOUBLE) / 10000 / count(unit_price) AS unit_price
 FROM line GROUP BY product_id, store_id, week""",
     "weekly_top": "SELECT weekly.* FROM weekly JOIN top USING (product_id)",
     "grid": """
@@ -563,7 +563,7 @@ UNION ALL SELECT 'week', NULL, week, NULL, revenue FROM week_revenue
 UNION ALL SELECT 'month', NULL, NULL, month, revenue FROM month_revenue""",
     "stream_weekly": """
 SELECT CAST(date_trunc('week', ts) AS DATE) AS week, event_type, count(*) AS n,
-  CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
+  CAST(sum(CAST(round_even(value * 100, 0) AS BIGINT)) AS DOUBLE) / 100 AS total
 FROM events GROUP BY 1, 2""",
 }
 ORACLES = {name: _with(body) for name, body in ORACLES.items()}
