@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial, reduce
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import churn_tier, flag
+from tillwise.operators.parallel import fit_all
 from tillwise.staging import stage
 
 CHURN_FEATURES = ("recency", "frequency", "monetary", "avg_order_value")
@@ -58,20 +60,23 @@ def oof_probability(
         "folds",
     )
     sizes = {r["_fold"]: r["count"] for r in rows.groupBy("_fold").count().collect()}
-    total, parts = sum(sizes.values()), []
-    for fold in sorted(sizes):
-        train = rows.where(F.col("_fold") != fold)
-        model = LogisticRegression(
+    total = sum(sizes.values())
+
+    def fit(fold: int) -> LogisticRegressionModel:
+        return LogisticRegression(
             featuresCol="_features", labelCol=label, maxIter=500, elasticNetParam=0.0,
             regParam=1.0 / (c * max(total - sizes[fold], 1)), standardization=False,
             probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_class",
-        ).fit(train.select("_features", label))
-        scored = model.transform(rows.where(F.col("_fold") == fold))
-        parts.append(scored.withColumn(into, F.bround(F.get(vector_to_array("_probability"), F.lit(1)), 3)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.drop("_features", "_fold", "_probability", "_raw", "_class")
+        ).fit(rows.where(F.col("_fold") != fold).select("_features", label))
+
+    folds = sorted(sizes)
+    models = fit_all(rows.sparkSession, [partial(fit, fold) for fold in folds])
+    risk = F.bround(F.get(vector_to_array("_probability"), F.lit(1)), 3)
+    parts = [
+        model.transform(rows.where(F.col("_fold") == fold)).withColumn(into, risk)
+        for fold, model in zip(folds, models)
+    ]
+    return reduce(DataFrame.unionByName, parts).drop("_features", "_fold", "_probability", "_raw", "_class")
 
 
 def churn_scores(base: DataFrame, key: str = "customer_id", days: int = 90) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tillwise.config import CLUSTER_LABELS
 from tillwise.operators.churn import standardise
+from tillwise.operators.parallel import fit_all
 from tillwise.operators.sampling import bounded_sample
 from tillwise.staging import stage
 
@@ -28,13 +30,16 @@ def scaled_vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return stage(scaled.drop(*[f"{f}_std" for f in features]), "scaled")
 
 
-def best_of(rows: DataFrame, k: int, n_init: int, seed: int = 42) -> KMeansModel:
-    """The fit of lowest cost among ``n_init`` seeds."""
-    fits = [
-        KMeans(featuresCol="_v", predictionCol="cluster", k=k, seed=seed + i, maxIter=300, tol=1e-4).fit(rows)
-        for i in range(n_init)
-    ]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def best_fits(rows: DataFrame, ks: Sequence[int], n_init: int, seed: int = 42) -> dict[int, KMeansModel]:
+    """For each k, the fit of lowest cost among ``n_init`` seeds."""
+    wanted = [(k, seed + i) for k in ks for i in range(n_init)]
+
+    def fit(k: int, seed: int) -> KMeansModel:
+        return KMeans(featuresCol="_v", predictionCol="cluster", k=k, seed=seed, maxIter=300, tol=1e-4).fit(rows)
+
+    models = fit_all(rows.sparkSession, [partial(fit, k, s) for k, s in wanted])
+    costs = [(k, m.summary.trainingCost, at) for at, ((k, _), m) in enumerate(zip(wanted, models))]
+    return {k: models[min((c, at) for kk, c, at in costs if kk == k)[1]] for k in ks}
 
 
 def sample_silhouettes(points: np.ndarray, centres: list[np.ndarray], spark) -> list[float]:
@@ -84,9 +89,9 @@ def k_diagnostics(
     squared-Euclidean measure over all rows.
     """
     rows = scaled_vectors(df, features)
-    models = {k: best_of(rows, k, n_init) for k in ks}
+    models = best_fits(rows, list(ks), n_init)
     evaluator = ClusteringEvaluator(featuresCol="_v", predictionCol="cluster")
-    squared = [evaluator.evaluate(m.transform(rows)) for m in models.values()]
+    squared = fit_all(rows.sparkSession, [partial(evaluator.evaluate, m.transform(rows)) for m in models.values()])
     drawn = bounded_sample(rows, [key], sample).select("_v").collect()
     points = np.array([r["_v"].toArray() for r in drawn])
     widths = sample_silhouettes(points, [np.array(m.clusterCenters()) for m in models.values()], df.sparkSession)
@@ -111,5 +116,5 @@ def assign_clusters(
 ) -> DataFrame:
     """Each row's cluster and the cluster's value label."""
     rows = scaled_vectors(df, features)
-    assigned = best_of(rows, k, n_init).transform(rows).drop("_v")
+    assigned = best_fits(rows, [k], n_init)[k].transform(rows).drop("_v")
     return cluster_labels(assigned, label_by)

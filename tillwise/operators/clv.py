@@ -90,15 +90,37 @@ def sum_likelihoods(rows: DataFrame, likelihood: Likelihood, thetas: np.ndarray)
     return out
 
 
+def _differences(size: int, width: float) -> np.ndarray:
+    """Offsets for central differences: centre, plus, minus, then both-way pairs."""
+    axes = np.eye(size) * width
+    pairs = [axes[i] + axes[j] for i in range(size) for j in range(i + 1, size)]
+    return np.array([np.zeros(size), *axes, *-axes, *pairs, *[-p for p in pairs]])
+
+
+def _newton_step(f: np.ndarray, size: int, width: float) -> np.ndarray:
+    """An ascent step of bounded length from the values at the difference points."""
+    here, up, down, mixed = f[0], f[1:size + 1], f[size + 1:2 * size + 1], f[2 * size + 1:]
+    curve = np.diag((up - 2 * here + down) / width**2)
+    both = mixed[: len(mixed) // 2] + mixed[len(mixed) // 2:]
+    for value, (i, j) in zip(both, [(i, j) for i in range(size) for j in range(i + 1, size)]):
+        curve[i, j] = curve[j, i] = (value - up[i] - up[j] - down[i] - down[j] + 2 * here) / (2 * width**2)
+    values, vectors = np.linalg.eigh(-curve)
+    slope = (up - down) / (2 * width)
+    step = vectors @ ((vectors.T @ slope) / np.maximum(np.abs(values), 1e-4))
+    return step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
+
+
 def maximise(
-    rows: DataFrame, likelihood: Likelihood, start: np.ndarray, penalizer: float, steps: int = 40, tolerance: float = 1e-7
+    rows: DataFrame, likelihood: Likelihood, start: np.ndarray, penalizer: float, passes: int = 80, tolerance: float = 1e-7
 ) -> np.ndarray:
     """Newton's method on log parameters for mean likelihood less ``penalizer`` times the
-    squared parameters. A step costs two passes: one for the differences, one for the
-    step length."""
+    squared parameters.
+
+    Each pass over the rows evaluates the differences around the full step together with
+    shorter and longer steps, so an accepted full step needs no pass of its own.
+    """
     size, width = len(start), 0.01
-    axes = np.eye(size) * width
-    pairs = [(i, j) for i in range(size) for j in range(i + 1, size)]
+    offsets, lengths = _differences(size, width), np.array([2.0, 0.5, 0.25, 0.1, 0.03, 0.01])
 
     def objective(points: np.ndarray) -> np.ndarray:
         thetas = np.exp(np.clip(points, -15, 15))
@@ -106,25 +128,19 @@ def maximise(
         return np.where(np.isfinite(value), value, -np.inf)
 
     at = np.log(np.asarray(start, dtype=float))
-    for _ in range(steps):
-        grid = [at, *(at + e for e in axes), *(at - e for e in axes)]
-        grid += [at + s * (axes[i] + axes[j]) for i, j in pairs for s in (1, -1)]
-        f = objective(np.array(grid))
-        here, up, down, mixed = f[0], f[1:size + 1], f[size + 1:2 * size + 1], f[2 * size + 1:]
-        slope = (up - down) / (2 * width)
-        curve = np.diag((up - 2 * here + down) / width**2)
-        for at_pair, (i, j) in enumerate(pairs):
-            both = mixed[2 * at_pair] + mixed[2 * at_pair + 1]
-            curve[i, j] = curve[j, i] = (both - up[i] - up[j] - down[i] - down[j] + 2 * here) / (2 * width**2)
-        values, vectors = np.linalg.eigh(-curve)
-        step = vectors @ ((vectors.T @ slope) / np.maximum(np.abs(values), 1e-4))
-        step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
-        lengths = np.array([2.0, 1.0, 0.5, 0.25, 0.1, 0.03, 0.01])
-        trial = objective(at + lengths[:, None] * step)
-        best = int(np.argmax(trial))
-        if not trial[best] > here + tolerance:
+    around = objective(at + offsets)
+    for _ in range(passes):
+        step = _newton_step(around, size, width)
+        values = objective(np.vstack([at + step + offsets, at + lengths[:, None] * step]))
+        full, others = values[: len(offsets)], values[len(offsets):]
+        here, best = around[0], int(np.argmax(others))
+        if max(full[0], others[best]) <= here + tolerance:
             break
-        at = at + lengths[best] * step
+        if full[0] >= others[best]:
+            at, around = at + step, full
+        else:
+            at = at + lengths[best] * step
+            around = objective(at + offsets)
     return np.exp(at)
 
 

@@ -97,12 +97,14 @@ def grouped_median(
     weight: Column | None = None,
     into: str = "median",
     single_task_rows: int = SINGLE_TASK_ROWS,
+    extremes: Sequence[str] = (),
 ) -> DataFrame:
     """Exact median of ``value`` per group, one row per group with a non-null value.
 
     Rows first collapse to (group, value, count). Beyond ``single_task_rows`` distinct
     pairs the medians come from one running total over all groups, so that a group with
-    very many distinct values is spread over several tasks.
+    very many distinct values is spread over several tasks. ``extremes`` names columns for
+    the minimum and the maximum, taken from the same counts.
     """
     keys = list(keys)
     counts = stage(
@@ -112,9 +114,10 @@ def grouped_median(
         .where("_n > 0"),
         "group-histogram",
     )
+    edges = [f(value).alias(name) for f, name in zip((F.min, F.max), extremes)]
     rows = counts.count()
     if rows <= single_task_rows:
-        return counts.groupBy(*keys).agg(F.percentile(value, 0.5, F.col("_n")).alias(into))
+        return counts.groupBy(*keys).agg(F.percentile(value, 0.5, F.col("_n")).alias(into), *edges)
     ranked = stage(
         running_total(counts, [*keys, value], F.col("_n"), "_upto", rows, single_task_rows),
         "ranked-histogram",
@@ -126,11 +129,14 @@ def grouped_median(
         (F.col("_start") + F.floor((F.col("_rows") - 1) / 2)).alias("_low"),
         (F.col("_start") + F.ceil((F.col("_rows") - 1) / 2)).alias("_high"),
     )
-    at = lambda place: F.min(F.when(F.col("_upto") > F.col(place), F.col(value)))
+
+    def at(place: str) -> Column:
+        return F.min(F.when(F.col("_upto") > F.col(place), F.col(value)))
+
     return (
         ranked.join(spans, keys)
         .groupBy(*keys)
-        .agg(((at("_low") + at("_high")) / 2).alias(into))
+        .agg(((at("_low") + at("_high")) / 2).alias(into), *edges)
     )
 
 

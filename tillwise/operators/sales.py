@@ -32,10 +32,7 @@ def unpivot_sales(wide: DataFrame, ids: Sequence[str], prefix: str = "d_") -> Da
 
 def price_stats(prices: DataFrame, key: str, price: str) -> DataFrame:
     """Exact median, minimum and maximum price per key."""
-    extremes = prices.where(F.col(price).isNotNull()).groupBy(key).agg(
-        F.min(price).alias("price_min"), F.max(price).alias("price_max")
-    )
-    return grouped_median(prices, [key], price, into="median_price").join(extremes, key)
+    return grouped_median(prices, [key], price, into="median_price", extremes=("price_min", "price_max"))
 
 
 def products_table(items: DataFrame, prices: DataFrame, key: str, price: str) -> DataFrame:

@@ -122,7 +122,7 @@ class Panel:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        base = feat.inventory_base(self.features, self.products)
+        base = stage(feat.inventory_base(self.features, self.products), "velocity")  # a row per series
         return stock.inventory_coverage(base, stock_on_hand(base))
 
     @cached_property
