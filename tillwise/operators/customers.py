@@ -39,6 +39,12 @@ def invoice_totals(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy(CUSTOMER, "invoice", "invoice_date", "country").agg(*line_totals())
 
 
+def _latest(df: DataFrame, column: str) -> Column:
+    """The column's maximum as a literal, passed as text so that no driver time zone enters."""
+    text = df.agg(F.max(column).cast("string")).first()[0]
+    return F.lit(text).cast(df.schema[column].dataType)
+
+
 def rfm_base(invoices: DataFrame, one_row_per_invoice: bool = False) -> DataFrame:
     """Recency, frequency and spend per customer; staged, one row per customer.
 
@@ -65,9 +71,8 @@ def rfm_base(invoices: DataFrame, one_row_per_invoice: bool = False) -> DataFram
         F.size(F.array_distinct(F.flatten(F.collect_set(country)))).alias("countries"),
     )
     customers = stage(per_customer, "customers")
-    end = customers.agg(F.max("last_purchase")).first()[0]
     lifespan = whole_days(F.col("last_purchase"), F.col("first_purchase")) / 7
-    snapshot = F.lit(end) + F.expr("INTERVAL 7 DAYS")
+    snapshot = _latest(customers, "last_purchase") + F.expr("INTERVAL 7 DAYS")
     return (
         customers.withColumn("recency", whole_days(snapshot, F.col("last_purchase")).cast("int"))
         .withColumn("avg_order_value", F.col("monetary") / F.col("lines"))
@@ -118,8 +123,7 @@ def repeat_summary(invoices: DataFrame, period_days: int = 7) -> DataFrame:
         ),
         "repeat",
     )
-    end = customers.agg(F.max("_last")).first()[0]
-    last_week = week_start(F.lit(end) + F.expr("INTERVAL 7 DAYS"))
+    last_week = week_start(_latest(customers, "_last") + F.expr("INTERVAL 7 DAYS"))
     later = (F.col("_all") - F.col("_opening")) / MONEY_UNITS
     return customers.select(
         CUSTOMER, "frequency",

@@ -54,10 +54,13 @@ def dim_join(
         raise ValueError(f"unsupported join type {how}")
     if plan_bytes(dim) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), key, how)
-    hot = hot_keys(fact, key, share, fraction)
-    if not hot:
-        return fact.join(dim, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    cold = fact.where(~is_hot).join(dim.where(~is_hot), key, how)
-    warm = fact.where(is_hot).join(F.broadcast(dim.where(is_hot)), key, how)
-    return cold.unionByName(warm)
+    # A null key matches nothing, and all nulls would meet in one shuffle partition.
+    known = fact.where(F.col(key).isNotNull())
+    hot = hot_keys(known, key, share, fraction)
+    is_hot = F.col(key).isin(hot)
+    joined = known.where(~is_hot).join(dim.where(~is_hot), key, how) if hot else known.join(dim, key, how)
+    if hot:
+        joined = joined.unionByName(known.where(is_hot).join(F.broadcast(dim.where(is_hot)), key, how))
+    if how == "left":
+        joined = joined.unionByName(fact.where(F.col(key).isNull()), allowMissingColumns=True)
+    return joined

@@ -21,17 +21,20 @@ EVENT_SCHEMA = T.StructType([
 def weekly_totals(events: DataFrame, time: str, key: str, value: str, late: str = "14 days") -> DataFrame:
     """Count and sum per Monday week and key; works on streams and on tables.
 
-    Sums run over integer hundredths, so batches may arrive in any split. The window
-    offset of four days moves the weeks from the epoch's Thursday to Monday.
+    Sums run over integer hundredths, so batches may arrive in any split. Weeks follow the
+    wall clock of the events in any session time zone: the wall time is read as UTC, and
+    the window offset of four days moves the weeks from the epoch's Thursday to Monday.
     """
-    week = F.window(F.col(time), "7 days", "7 days", "4 days")
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    wall = F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {epoch}, cast({time} AS timestamp_ntz)))")
+    start = F.unix_seconds(F.col("_window.start"))
     return (
-        events.withColumn(time, F.col(time).cast("timestamp"))
+        events.withColumn(time, wall)
         .withWatermark(time, late)
-        .groupBy(week.alias("_window"), key)
+        .groupBy(F.window(F.col(time), "7 days", "7 days", "4 days").alias("_window"), key)
         .agg(F.count("*").alias("n"), F.sum(F.rint(F.col(value) * 100).cast("long")).alias("_sum"))
         .select(
-            F.col("_window.start").cast("date").alias("week"), key, "n",
+            F.date_from_unix_date((start / 86_400).cast("int")).alias("week"), key, "n",
             (F.col("_sum") / 100).alias("total"),
         )
     )
