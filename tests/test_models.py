@@ -1,6 +1,8 @@
 """Fitted models: recovery of known parameters, invariants and plain recomputations."""
 
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
@@ -128,11 +130,26 @@ def test_point_model_beats_the_naive_forecast(signal):
     assert gain["lag_1"] > 0.9
 
 
-def test_all_three_models(signal):
+def test_all_three_models(signal, spark, tmp_path):
     models = demand.fit_models(signal, ["lag_1", "noise"], config=BoostConfig(rounds=4, depth=4, step=0.5), extra_rounds=2, patience=3)
-    scored = models.score(signal.where("split = 'Test'"))
+    test = signal.where("split = 'Test'")
+    scored = models.score(test)
     assert {"pred", "pred_lo", "pred_hi"} <= set(scored.columns)
     assert scored.where("pred_hi < pred_lo").count() == 0
+    demand.save_demand_models(spark, str(tmp_path / "models"), models)
+    again = demand.load_demand_models(spark, str(tmp_path / "models")).score(test)
+    columns = ["id", "pred", "pred_lo", "pred_hi"]
+    assert again.select(columns).exceptAll(scored.select(columns)).count() == 0
+
+
+def test_scores_need_no_package_on_the_executors():
+    """The pickled function runs where the package is not installed."""
+    from pyspark import cloudpickle
+
+    code = "import sys, pickle, numpy; f = pickle.loads(bytes.fromhex(sys.stdin.read())); print(round(float(f(numpy.array(5.0))), 6))"
+    packed = cloudpickle.dumps(clv.lgamma).hex()
+    done = subprocess.run([sys.executable, "-c", code], input=packed, capture_output=True, text=True, cwd="/")
+    assert done.stdout.strip() == f"{math.lgamma(5):.6f}", done.stderr
 
 
 def test_search_returns_its_best_trial(signal):

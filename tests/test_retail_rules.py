@@ -332,3 +332,12 @@ def test_missing_split_is_an_error(spark):
 def test_a_section_too_long_is_an_error(spark):
     with pytest.raises(Exception, match="more than 3 rows"):
         rep.section(spark.range(4), "k", ["id"], most=3).collect()
+
+
+def test_slices_and_ranges(spark):
+    rows = [("CA_1", "FOODS", 1), ("CA_1", "HOBBIES", 2), ("TX_1", "FOODS", 3)]
+    df = spark.createDataFrame(rows, "store_id string, cat_id string, n int")
+    assert [r.n for r in rep.forecast_slice(df, "CA_1", "FOODS").collect()] == [1]
+    assert rep.forecast_slice(df, category="FOODS").count() == 2 and rep.forecast_slice(df).count() == 3
+    periods = spark.createDataFrame([(w,) for w in weeks(60)], "week date")
+    assert [rep.last_periods(periods, "week", n).count() for n in rep.WEEK_RANGES.values()] == [26, 52, 60]

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.config import BoostConfig
@@ -20,6 +20,10 @@ from tillwise.staging import stage
 
 ACCURACY = 10_000
 CUT_EVERY = 10
+_MODEL_SCHEMA = (
+    "tree int, alpha double, step double, start double, feature array<int>, threshold array<double>, "
+    "left array<int>, right array<int>, value array<double>"
+)
 
 
 @dataclass
@@ -91,6 +95,21 @@ class QuantileBoost:
         return score(features)
 
 
+def save_quantile(spark: SparkSession, path: str, model: QuantileBoost) -> None:
+    """Write the model as a table: one row per tree, plus one for the start value."""
+    rows = [(-1, model.alpha, model.step, model.start, None, None, None, None, None)]
+    for at, tree in enumerate(model.trees):
+        arrays = (tree.feature, tree.threshold, tree.left, tree.right, tree.value)
+        rows.append((at, model.alpha, model.step, model.start, *[a.tolist() for a in arrays]))
+    spark.createDataFrame(rows, _MODEL_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_quantile(spark: SparkSession, path: str) -> QuantileBoost:
+    rows = spark.read.schema(_MODEL_SCHEMA).parquet(path).orderBy("tree").collect()
+    trees = [FlatTree(*(np.array(r[c]) for c in ("feature", "threshold", "left", "right", "value"))) for r in rows[1:]]
+    return QuantileBoost(rows[0]["alpha"], rows[0]["start"], rows[0]["step"], trees)
+
+
 def pinball(residual: Column, alpha: float) -> Column:
     """Quantile loss of one residual (actual minus predicted)."""
     return F.greatest(residual * alpha, residual * (alpha - 1))

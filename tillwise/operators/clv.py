@@ -110,8 +110,15 @@ def _newton_step(f: np.ndarray, size: int, width: float) -> np.ndarray:
     return step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Cached rows over as many tasks as their number is worth: the passes are all
+    arithmetic, and a small file would leave them to one task."""
+    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // 4000 + 1)
+    return rows.repartition(max(tasks, 1)).persist()
+
+
 def maximise(
-    rows: DataFrame, likelihood: Likelihood, start: np.ndarray, penalizer: float, passes: int = 80, tolerance: float = 1e-7
+    staged: DataFrame, likelihood: Likelihood, start: np.ndarray, penalizer: float, passes: int = 80, tolerance: float = 1e-7
 ) -> np.ndarray:
     """Newton's method on log parameters for mean likelihood less ``penalizer`` times the
     squared parameters.
@@ -119,7 +126,7 @@ def maximise(
     Each pass over the rows evaluates the differences around the full step together with
     shorter and longer steps, so an accepted full step needs no pass of its own.
     """
-    size, width = len(start), 0.01
+    rows, size, width = _spread(staged), len(start), 0.01
     offsets, lengths = _differences(size, width), np.array([2.0, 0.5, 0.25, 0.1, 0.03, 0.01])
 
     def objective(points: np.ndarray) -> np.ndarray:
@@ -141,6 +148,7 @@ def maximise(
         else:
             at = at + lengths[best] * step
             around = objective(at + offsets)
+    rows.unpersist()
     return np.exp(at)
 
 

@@ -9,14 +9,15 @@ from dataclasses import dataclass, replace
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.config import FEATURES, BoostConfig
-from tillwise.operators.boosting import QuantileBoost, fit_quantile
+from tillwise.operators.boosting import QuantileBoost, fit_quantile, load_quantile, save_quantile
 from tillwise.operators.forecast import Scorer
 from tillwise.operators.sampling import bounded_sample
+from tillwise.sources.tables import load_params, save_models
 
 
 def feature_array(features: Sequence[str] = FEATURES) -> Column:
@@ -66,6 +67,19 @@ class DemandModels:
         ).drop("_x", "features")
 
 
+def save_demand_models(spark: SparkSession, path: str, models: DemandModels) -> None:
+    """Keep the three models and their feature list under one path."""
+    save_models(spark, path, {"point": models.point}, {"model_type": "boosted trees", "features": list(models.features)})
+    save_quantile(spark, f"{path}/low", models.low)
+    save_quantile(spark, f"{path}/high", models.high)
+
+
+def load_demand_models(spark: SparkSession, path: str) -> DemandModels:
+    point = GBTRegressionModel.load(f"{path}/point")
+    features = load_params(spark, f"{path}/metadata", {})["features"]
+    return DemandModels(point, load_quantile(spark, f"{path}/low"), load_quantile(spark, f"{path}/high"), features)
+
+
 def fit_models(
     df: DataFrame, features: Sequence[str] = FEATURES, label: str = "quantity",
     config: BoostConfig = BoostConfig(), extra_rounds: int = 100, patience: int = 50,

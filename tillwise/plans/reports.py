@@ -15,6 +15,10 @@ from tillwise.operators.ranks import exact_quantiles
 from tillwise.staging import stage
 
 
+# Ranges of weeks a viewer picks from; None keeps all.
+WEEK_RANGES = {"Last 26 weeks": 26, "Last 52 weeks": 52, "All time": None}
+
+
 # ---- revenue -------------------------------------------------------------------------
 
 def valid_stores(df: DataFrame, longest: int = 4) -> DataFrame:
@@ -89,6 +93,12 @@ def state_share(daily: DataFrame, digits: int = 1) -> DataFrame:
 
 # ---- forecast ------------------------------------------------------------------------
 
+def forecast_slice(forecasts: DataFrame, store: str | None = None, category: str | None = None) -> DataFrame:
+    """The forecast of one store and / or category, as a viewer picks them."""
+    out = forecasts if store is None else forecasts.where(F.col("store_id") == store)
+    return out if category is None else out.where(F.col("cat_id") == category)
+
+
 def forecast_weeks(forecasts: DataFrame) -> DataFrame:
     """Forecast revenue per week with its position label."""
     weekly = forecasts.groupBy("forecast_week").agg(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from pathlib import PurePath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,5 +121,5 @@ def load_params(spark: SparkSession, path: str, default: Mapping[str, object]) -
 def save_models(spark: SparkSession, path: str, models: Mapping[str, object], metadata: Mapping[str, object]) -> None:
     """Write each model with its own writer and the metadata beside them."""
     for name, model in models.items():
-        model.write().overwrite().save(str(PurePath(path) / name) if "://" not in path else f"{path}/{name}")
+        model.write().overwrite().save(f"{path}/{name}")
     save_params(spark, f"{path}/metadata", {**metadata, "models": sorted(models)})
