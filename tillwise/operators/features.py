@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tillwise.config import FEATURES, LAGS, ROLLING
 from tillwise.functions.columns import add_weeks, calendar_parts, clip, flag
 from tillwise.operators.calendar import state_snap_days
+from tillwise.operators.joins import dim_join
 from tillwise.operators.panel import SERIES
 
 TINY = 1e-6
@@ -98,8 +99,8 @@ def demand_features(
 ) -> DataFrame:
     """The model table: one row per product, store and week with all 49 features.
 
-    ``calendar`` is weekly, ``products`` holds the panel's (top) products. Both are
-    broadcast: a row per week and a row per top product.
+    ``calendar`` is weekly and broadcast, a row per week; ``products`` holds the panel's
+    (top) products.
     """
     spec, series = _spec(SERIES, "week"), W.partitionBy(*SERIES)
     windowed = add_price_features(add_yoy(add_rolling(add_lags(panel))))
@@ -108,10 +109,9 @@ def demand_features(
     complete = windowed.where("weeks_since_start >= 4").withColumn("_weeks", F.count("*").over(series))
     ranked = {s: i for i, s in enumerate(sorted(set(stores)))}
     codes = F.create_map(*[F.lit(x) for pair in ranked.items() for x in pair])
-    joined = (
-        complete.where(F.col("_weeks") >= min_weeks).drop("_weeks")
-        .join(F.broadcast(calendar), "week", "left")
-        .join(F.broadcast(encoded_products(products)), "product_id", "left")
+    long_enough = complete.where(F.col("_weeks") >= min_weeks).drop("_weeks")
+    joined = dim_join(
+        long_enough.join(F.broadcast(calendar), "week", "left"), encoded_products(products), "product_id"
     )
     return joined.withColumns({
         "state": F.substring("store_id", 1, 2),
@@ -140,5 +140,4 @@ def inventory_base(features: DataFrame, products: DataFrame, weeks: int = 8) ->
     last = features.agg(F.max("week")).first()[0]
     recent = features.where(F.col("week") >= add_weeks(F.lit(last), -weeks))
     velocity = recent.groupBy(*SERIES).agg(F.avg("quantity").alias("avg_weekly_qty"))
-    attributes = products.select("product_id", "cat_id", "dept_id")
-    return velocity.join(F.broadcast(attributes), "product_id", "left")
+    return dim_join(velocity, products.select("product_id", "cat_id", "dept_id"), "product_id")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillwise.config import EVENT_FLAGS, FEATURES, LAGS, ROLLING
 from tillwise.operators.calendar import average_snap
+from tillwise.operators.joins import dim_join
 from tillwise.operators.metrics import bound_predictions
 from tillwise.operators.panel import SERIES
 from tillwise.staging import stage
@@ -195,10 +196,8 @@ def forecast(
 
 def forecast_revenue(forecasts: DataFrame, products: DataFrame) -> DataFrame:
     """Value the forecast and its bounds at each product's median price."""
-    priced = forecasts.join(
-        F.broadcast(products.select("product_id", "dept_id", "cat_id", "median_price")),  # top products
-        "product_id", "left",
-    )
+    attributes = products.select("product_id", "dept_id", "cat_id", "median_price")
+    priced = dim_join(forecasts, attributes, "product_id")
     return priced.withColumns({
         f"forecast_revenue{suffix}": F.col(column) * F.col("median_price")
         for suffix, column in (("", "forecast_qty"), ("_lower", "forecast_lower"), ("_upper", "forecast_upper"))

@@ -575,6 +575,7 @@ def revenue_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every report table that needs no trained model, as one JSON object."""
     p = Panel(spark, sf_dir)
+    p.features = stage(p.features, "features")  # read by three sections
     people = _customer_table(spark, sf_dir)
     cover = stage(p.inventory, "cover")
     ahead = p.valued_forecast

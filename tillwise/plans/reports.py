@@ -238,7 +238,7 @@ def best_k(diagnostics: DataFrame) -> DataFrame:
 
 # ---- payload -------------------------------------------------------------------------
 
-def section(df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str] = (), most: int = 10_000) -> DataFrame:
+def section(df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str] = (), most: int = 100_000) -> DataFrame:
     """A small report table as one (key, JSON array) row, in the order of ``order``.
 
     Report tables are bounded by periods, stores, categories or a top-n; a larger table
