@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step looks at; a longer text is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 #: Words are runs of anything but these ASCII separators.
 SEPARATORS = b" \t\n\x0b\x0c\r"
 #: Bits of a pre-filter bitmap (4 MiB). A fuller bitmap only lets more rows through.
