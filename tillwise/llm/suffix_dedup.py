@@ -320,6 +320,7 @@ def stretches(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     equal = kinds.filter("n > 1").select("key", "around", F.lit(0).alias("low"), F.lit(PLACES - 1).alias("high"))
     found = sorted_out.unionByName(dealt).unionByName(equal)
     found = found.groupBy("key", "around").agg(F.collect_list(F.struct("low", "high")).alias("places"))  # at most one for each place
+    found = stage(found, "suffix-found")  # then a common anchor's rows can be split in the join
     hits = met.join(found, ["key", "around"]).select("doc_id", check.alias("check"), F.shiftright("at", 32).alias("at"), F.explode("places").alias("p"))
     # Places low .. high cover one stretch; it is cut to the text when it is applied.
     return hits.select(
