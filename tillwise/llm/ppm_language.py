@@ -42,8 +42,11 @@ class Model:
 def grams(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Counts of (language, three bytes of context and the next byte) over the training rows."""
     labelled = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("n", F.row_number().over(by)).filter(F.col("n") <= rows)
+    chosen = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("chance"))
+    # First in 64 parts of each language, so that no language meets in one task.
+    for part in (F.pmod("chance", F.lit(64)), F.lit(0).cast("long")):
+        by = Window.partitionBy("lang", "part").orderBy("chance", "doc_id")
+        chosen = chosen.withColumn("part", part).withColumn("n", F.row_number().over(by)).filter(F.col("n") <= rows)
     chosen = chosen.select("doc_id").distinct()  # ``rows`` ids for each language at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
