@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.bpe import VOCABULARY, Encoder, decimal_list
+from tillwise.llm.bpe import VOCABULARY, Encoder
 from tillwise.llm.common import bitmap, gear_hash, gear_table, split_by
 from tillwise.staging import stage
 
@@ -120,7 +120,7 @@ def _settled(text: str) -> int:
 def _result(encoder: Encoder, ids: np.ndarray) -> tuple[int, str, str]:
     return (
         len(ids),
-        hashlib.sha256(decimal_list(ids)).hexdigest(),
+        hashlib.sha256(encoder.decimal_list(ids)).hexdigest(),
         hashlib.sha256(encoder.decode(ids)).hexdigest(),
     )
 
@@ -200,10 +200,12 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bo
         .agg(F.first("ids").alias("ids"))  # repeated rows encode alike
     )
     shared = stage(shared, "bpe-shared")
+    # A table of its own, so that the rows of a text with very many copies can be split in the join.
     reused = places.join(shared, "key").groupBy("digest").agg(F.collect_list(F.struct("place", "ids")).alias("reused"))
+    reused = stage(reused, "bpe-reused")
 
     rows = with_digest(docs)
-    some, none = split_by(rows, bitmap(places.join(shared.select("key"), "key", "left_semi"), "digest"), "digest")
+    some, none = split_by(rows, bitmap(reused.select("digest"), "digest"), "digest")
     some = some.join(reused, "digest", "left").select("doc_id", "text", "reused")
     none = none.select("doc_id", "text", F.lit(None).cast("array<struct<place:int,ids:binary>>").alias("reused"))
 

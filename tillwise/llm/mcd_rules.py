@@ -27,6 +27,8 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 DIMENSIONS = ("word_length", "symbols", "lines", "repeats")
 #: Share of a group in the half, concentration steps, and bins of the distance for each doubling.
 HALF, STEPS, BINS = 0.75, 6, 32
+#: Tasks that the documents of a group are spread over.
+SALTS = 64
 #: Groups with fewer documents that pass the base rules take their language's estimate.
 LEAST_GROUP = 40
 #: Rejected beyond the chi-square quantile of 4 degrees of freedom at 1 - 1e-5.
@@ -151,6 +153,13 @@ def _cut(binned: DataFrame, share: float) -> DataFrame:
     return counts.filter(F.col("below") >= F.ceil(F.col("all") * share)).groupBy("group").agg(F.min("bin").alias("cut"), F.max("all").alias("rows"))
 
 
+def _spread(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Join on the group; each group's one row is repeated so that its documents meet in many tasks."""
+    many = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*DIMENSIONS), F.lit(SALTS)).cast("int"))
+    return salted.join(many, ["group", "salt"]).drop("salt")
+
+
 def estimates(vectors: DataFrame) -> DataFrame:
     """Per ``group`` the minimum-covariance-determinant estimate of its vectors.
 
@@ -162,15 +171,15 @@ def estimates(vectors: DataFrame) -> DataFrame:
         bins = vectors.select("group", F.floor(F.col(a) * 200).cast("int").alias("bin"))
         start.append(_cut(bins, 0.5).select("group", ((F.col("cut") + 0.5) / 200).alias(f"med_{a}")))
     middle = reduce(lambda x, y: x.join(y, "group"), start)
-    first = vectors.join(middle, "group")
+    first = _spread(vectors, middle)
     spread = reduce(lambda x, y: x + y, [((F.col(a) - F.col(f"med_{a}")) / (4 * f)) ** 2 for a, f in zip(DIMENSIONS, FLOOR, strict=True)])
     binned = stage(first.withColumn("bin", _bin(spread)).select("group", *DIMENSIONS, "bin"), "mcd-start")
     for _ in range(STEPS):
         cut = _cut(binned, HALF)
-        near = binned.join(cut, "group").filter(F.col("bin") <= F.col("cut"))
+        near = _spread(binned, cut).filter(F.col("bin") <= F.col("cut"))
         factor = _cholesky(near.groupBy("group").agg(*_moments(F.lit(True)))).select("group", "m", "log_det", *_factor_columns())
         factor = stage(factor, "mcd-factor")
-        binned = vectors.join(factor, "group").select("group", *DIMENSIONS, _bin(_distance()).alias("bin"))
+        binned = _spread(vectors, factor).select("group", *DIMENSIONS, _bin(_distance()).alias("bin"))
     middle = _cut(binned, 0.5).select("group", "rows", (F.greatest(F.pow(F.lit(2.0), (F.col("cut") + 1) / BINS) / MEDIAN, F.lit(1.0))).alias("scale"))
     return factor.join(middle, "group")
 
