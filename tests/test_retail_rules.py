@@ -309,9 +309,29 @@ def test_split_is_by_date(spark):
     assert [r.split for r in metrics.temporal_split(df).collect()] == ["Train", "Validation", "Test"]
 
 
-def test_bad_store_ids_are_left_out(spark):
-    df = spark.createDataFrame([("CA_1",), ("store",)], "store_id string")
-    assert [tuple(r) for r in rep.valid_stores(df).collect()] == [("CA_1", "CA")]
+def test_all_reports_take_the_same_stores(spark):
+    day = weeks(1)[0]
+    lines = spark.createDataFrame(
+        [("CA_1", day, 1.0, 10.0), ("CA_10", day, 1.0, 5.0), ("store", day, 1.0, 7.0)],
+        "store_id string, order_date date, quantity double, unit_price double",
+    )
+    stores = spark.createDataFrame([("CA_1",), ("CA_10",)], "store_id string")
+    daily = rep.daily_revenue(lines, stores=stores)
+    total = rep.revenue_grains(daily).agg({"revenue": "max"}).first()[0]
+    assert total == rep.monthly_revenue(daily).first().revenue == rep.weekly_revenue(daily).first().revenue == 15.0
+    assert [(r.state, r.revenue) for r in rep.state_share(daily).collect()] == [("CA", 15.0)]
+
+
+def test_money_totals_beyond_a_long_of_units(spark):
+    df = spark.createDataFrame([(9e14,)] * 5 + [(-0.5,), (0.25,), (None,)], "x double")
+    total, mean = df.agg(c.money_sum(F.col("x")), c.money_mean(F.col("x"))).first()
+    assert total == 4.5e15 - 0.25 and mean == total / 7
+
+
+def test_null_scores_hold_no_rule(spark):
+    df = spark.createDataFrame([(None, 5, 5), (2, None, 2), (5, 5, 5)], "r int, f int, m int")
+    got = df.select(c.rfm_segment(F.col("r"), F.col("f"), F.col("m"))).collect()
+    assert [r[0] for r in got] == ["Needs attention", "Needs attention", "Champions"]
 
 
 def test_peak_is_the_first_highest_week(spark):

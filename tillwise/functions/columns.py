@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillwise.config import CHURN_CUTS, CHURN_TIERS, STATE_NAMES
 
 MONEY_UNITS = 10_000
+UNIT_BLOCK = 1_000_000
 
 
 def week_start(day: Column) -> Column:
@@ -31,16 +32,25 @@ def whole_days(later: Column, earlier: Column) -> Column:
     return F.timestamp_diff("DAY", earlier.cast("timestamp"), later.cast("timestamp"))
 
 
+def _money_total(amount: Column) -> Column:
+    """Sum of integer ten-thousandths as two long sums, of millions of units and of the rest.
+
+    Both stay far below a long's range for any table, and integers make the row order irrelevant.
+    """
+    units = F.rint(amount * MONEY_UNITS)
+    millions = F.floor(units / UNIT_BLOCK)
+    rest = (units - millions * UNIT_BLOCK).cast("long")
+    return (F.sum(millions.cast("long")).cast("double") * UNIT_BLOCK + F.sum(rest)) / MONEY_UNITS
+
+
 def money_sum(amount: Column) -> Column:
-    """Sum of money in integer ten-thousandths, so the result ignores row order."""
-    return F.coalesce(F.sum(F.rint(amount * MONEY_UNITS).cast("long")), F.lit(0)) / MONEY_UNITS
+    """Sum of money to ten-thousandths, the same for any row order; 0 without amounts."""
+    return F.coalesce(_money_total(amount), F.lit(0.0))
 
 
 def money_mean(amount: Column) -> Column:
     """Mean of the non-null amounts, independent of row order."""
-    return F.try_divide(
-        F.sum(F.rint(amount * MONEY_UNITS).cast("long")) / MONEY_UNITS, F.count(amount)
-    )
+    return F.try_divide(_money_total(amount), F.count(amount))
 
 
 def clip(value: Column, low: float | None = None, high: float | None = None) -> Column:
@@ -100,15 +110,15 @@ def stock_status(weeks: Column) -> Column:
 
 
 def rfm_segment(r: Column, f: Column, m: Column) -> Column:
-    """Customer segment; the first rule that holds wins."""
+    """Customer segment; the rules are fixed and the first that holds wins (a null score fails a rule)."""
     return (
-        F.when((F.least(r, f, m) >= 4), "Champions")
+        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
         .when((r >= 3) & (f >= 3), "Loyal customers")
         .when((r >= 4) & (f <= 2), "New customers")
         .when((r >= 3) & (f >= 2) & (m >= 3), "Potential loyalists")
         .when((r == 2) & (f >= 2), "At risk")
         .when((r <= 2) & (f >= 3), "Cannot lose them")
-        .when(F.greatest(r, f, m) <= 2, "Lost")
+        .when((r <= 2) & (f <= 2) & (m <= 2), "Lost")
         .otherwise("Needs attention")
     )
 

@@ -7,6 +7,7 @@ sees one number per vector.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,8 +42,8 @@ def hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray, limit: in
         term = term * (a + j) * (b + j) / (c + j) * z / (j + 1)
         total += term
         if np.all(np.abs(term) <= 1e-13 * np.abs(total)):
-            break
-    return total
+            return total
+    raise ArithmeticError(f"the series has not converged after {limit} terms")
 
 
 def bgnbd_likelihood(theta: np.ndarray, rows: pd.DataFrame) -> np.ndarray:
@@ -148,6 +149,8 @@ def maximise(
         else:
             at = at + lengths[best] * step
             around = objective(at + offsets)
+    else:
+        warnings.warn(f"the likelihood still rose after {passes} passes", stacklevel=2)
     rows.unpersist()
     return np.exp(at)
 

@@ -118,13 +118,13 @@ def repeat_summary(invoices: DataFrame, period_days: int = 7) -> DataFrame:
             (F.count("*") - 1).alias("frequency"),
             F.min("_week").alias("_first_week"), F.max("_week").alias("_last_week"),
             F.max("_last").alias("_last"),
-            F.sum(F.rint(F.col("_spend") * MONEY_UNITS).cast("long")).alias("_all"),
-            F.min_by(F.rint(F.col("_spend") * MONEY_UNITS).cast("long"), "_week").alias("_opening"),
+            F.sum(F.rint(F.col("_spend") * MONEY_UNITS).cast("decimal(28,0)")).alias("_all"),
+            F.min_by(F.rint(F.col("_spend") * MONEY_UNITS).cast("decimal(28,0)"), "_week").alias("_opening"),
         ),
         "repeat",
     )
     last_week = week_start(_latest(customers, "_last") + F.expr("INTERVAL 7 DAYS"))
-    later = (F.col("_all") - F.col("_opening")) / MONEY_UNITS
+    later = (F.col("_all") - F.col("_opening")).cast("double") / MONEY_UNITS
     return customers.select(
         CUSTOMER, "frequency",
         (F.datediff("_last_week", "_first_week") / period_days).alias("recency"),

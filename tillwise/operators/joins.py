@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,52 +13,17 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01, fraction: float = 0.02) -> list:
-    """Keys that hold at least ``share`` of the rows, found on a sample of the key column.
-
-    At most ``1 / share`` keys can qualify, which bounds what reaches the driver. The list
-    only steers the join strategy: any list gives the same join result.
-    """
-    sample = df.select(key).where(F.col(key).isNotNull()).sample(fraction, seed=11)
-    # The grand-total row of the rollup has a null key and sorts first.
-    rows = (
-        sample.rollup(key).count()
-        .orderBy(F.desc("count"), F.col(key).asc_nulls_first())
-        .limit(math.ceil(1 / share) + 1)
-        .collect()
-    )
-    if not rows:
-        return []
-    total = rows[0]["count"]
-    return [r[key] for r in rows[1:] if r["count"] >= share * total]
-
-
 def dim_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    how: str = "left",
-    broadcast_bytes: int = BROADCAST_BYTES,
-    share: float = 0.01,
-    fraction: float = 0.02,
+    fact: DataFrame, dim: DataFrame, key: str, how: str = "left", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join ``fact`` to ``dim``, which has one row per ``key``.
 
-    A dimension of checked small size is broadcast. A larger one is joined by shuffle for
-    the ordinary keys, while the few hot keys meet a broadcast of just their own rows (at
-    most ``1 / share``), so that no shuffle partition receives a hot key.
+    A dimension of checked small size is broadcast. A larger one is joined by one shuffle of
+    one read of the fact; adaptive execution splits the fact's side of a hot key, as the other
+    side has a single row for it.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
     if plan_bytes(dim) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), key, how)
-    # A null key matches nothing, and all nulls would meet in one shuffle partition.
-    known = fact.where(F.col(key).isNotNull())
-    hot = hot_keys(known, key, share, fraction)
-    is_hot = F.col(key).isin(hot)
-    joined = known.where(~is_hot).join(dim.where(~is_hot), key, how) if hot else known.join(dim, key, how)
-    if hot:
-        joined = joined.unionByName(known.where(is_hot).join(F.broadcast(dim.where(is_hot)), key, how))
-    if how == "left":
-        joined = joined.unionByName(fact.where(F.col(key).isNull()), allowMissingColumns=True)
-    return joined
+    return fact.join(dim, key, how)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -125,7 +126,7 @@ def grouped_median(
     spans = ranked.groupBy(*keys).agg(
         F.min(F.col("_upto") - F.col("_n")).alias("_start"), F.sum("_n").alias("_rows")
     ).select(
-        *keys,
+        *(F.col(k).alias(f"_of_{k}") for k in keys),  # a null group joins as well
         (F.col("_start") + F.floor((F.col("_rows") - 1) / 2)).alias("_low"),
         (F.col("_start") + F.ceil((F.col("_rows") - 1) / 2)).alias("_high"),
     )
@@ -134,7 +135,7 @@ def grouped_median(
         return F.min(F.when(F.col("_upto") > F.col(place), F.col(value)))
 
     return (
-        ranked.join(spans, keys)
+        ranked.join(spans, reduce(lambda a, k: a & F.col(k).eqNullSafe(F.col(f"_of_{k}")), keys, F.lit(True)))
         .groupBy(*keys)
         .agg(((at("_low") + at("_high")) / 2).alias(into), *edges)
     )

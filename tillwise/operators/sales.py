@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import constant_map, money_sum, order_key
-from tillwise.operators.joins import dim_join
 from tillwise.operators.ranks import SINGLE_TASK_ROWS, grouped_median
 from tillwise.staging import stage
 
@@ -66,11 +65,12 @@ def impute_price(
     own = F.percentile(price, 0.5).over(W.partitionBy(*scope, item))
     filled = stage(sales.withColumn(price, F.coalesce(F.col(price), own)), "priced")
     by_scope = grouped_median(filled, scope, price, None, "_scope", single_task_rows)
-    key = F.concat_ws("|", *scope).alias("_key")
+    by_scope = by_scope.select(F.col(store).alias("_store"), F.col(chunk).alias("_chunk"), "_scope")
+    same = F.col(store).eqNullSafe(F.col("_store")) & F.col(chunk).eqNullSafe(F.col("_chunk"))
     return (
-        dim_join(filled.select("*", key), by_scope.select(key, "_scope"), "_key", "left")
+        filled.join(by_scope, same, "left")  # one row per scope; the sales of a large one are split
         .withColumn(price, F.coalesce(price, "_scope"))
-        .drop("_key", "_scope")
+        .drop("_store", "_chunk", "_scope")
     )
 
 

@@ -21,22 +21,31 @@ WEEK_RANGES = {"Last 26 weeks": 26, "Last 52 weeks": 52, "All time": None}
 
 # ---- revenue -------------------------------------------------------------------------
 
-def valid_stores(df: DataFrame, longest: int = 4) -> DataFrame:
-    """Rows with a well-formed store id, and the state it starts with."""
-    return df.where(F.length("store_id") <= longest).withColumn("state", F.substring("store_id", 1, 2))
+def valid_stores(df: DataFrame, stores: DataFrame | None) -> DataFrame:
+    """Rows of the stores in the column ``store_id`` of ``stores``; all rows without a list."""
+    return df if stores is None else df.join(stores.select("store_id"), "store_id", "left_semi")
 
 
-def daily_revenue(lines: DataFrame, day: str = "order_date") -> DataFrame:
-    """Revenue per store and day: the one pass over the lines behind every revenue report."""
-    return lines.where(F.col(day).isNotNull()).groupBy("store_id", F.col(day).alias("day")).agg(
+def daily_revenue(lines: DataFrame, day: str = "order_date", stores: DataFrame | None = None) -> DataFrame:
+    """Revenue per valid store and day: the one pass over the lines behind every revenue report.
+
+    The stores are filtered here, once, so that all reports add up to the same total.
+    """
+    daily = lines.where(F.col(day).isNotNull()).groupBy("store_id", F.col(day).alias("day")).agg(
         money_sum(F.col("quantity") * F.col("unit_price")).alias("revenue")
     )
+    return valid_stores(daily, stores)
+
+
+def state_of(store: Column) -> Column:
+    """The state a store id starts with."""
+    return F.substring(store, 1, 2)
 
 
 def revenue_grains(daily: DataFrame) -> DataFrame:
     """Total, per state, per week and per month in one pass over the daily revenue."""
-    grains = valid_stores(daily).select(
-        "state", "revenue", week_start(F.col("day")).alias("week"), month_start(F.col("day")).alias("month")
+    grains = daily.select(
+        state_of(F.col("store_id")).alias("state"), "revenue", week_start(F.col("day")).alias("week"), month_start(F.col("day")).alias("month")
     )
     sets = [[], [F.col("state")], [F.col("week")], [F.col("month")]]
     totals = grains.groupingSets(sets, "state", "week", "month").agg(
@@ -86,7 +95,7 @@ def monthly_revenue(daily: DataFrame, last: int | None = 24) -> DataFrame:
 
 def state_share(daily: DataFrame, digits: int = 1) -> DataFrame:
     """Revenue per state and its share of all, in percent."""
-    states = valid_stores(daily).groupBy("state").agg(money_sum(F.col("revenue")).alias("revenue"))
+    states = daily.groupBy(state_of(F.col("store_id")).alias("state")).agg(money_sum(F.col("revenue")).alias("revenue"))
     share = F.try_divide("revenue", F.sum("revenue").over(W.partitionBy())) * 100  # a row per state
     return states.withColumn("share_pct", F.bround(share, digits))
 
@@ -245,13 +254,13 @@ def section(df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str
     is an error, never cut short.
     """
     body = F.struct(*columns)
-    rows = df.select(F.struct(*order, body.alias("body")).alias("r"))
+    rows = df.limit(most + 1).select(F.struct(*order, body.alias("body")).alias("r"))  # no more are gathered
     listed = rows.agg(F.sort_array(F.collect_list("r")).alias("all"))
     guarded = F.when(F.size("all") <= most, F.col("all")).otherwise(
         F.raise_error(F.lit(f"report section {key} has more than {most} rows"))
     )
     return listed.select(
-        F.lit(key).alias("key"), F.to_json(F.transform(guarded, lambda r: r["body"])).alias("json")
+        F.lit(key).alias("key"), F.to_json(F.transform(guarded, lambda r: r["body"]), {"ignoreNullFields": "false"}).alias("json")
     )
 
 

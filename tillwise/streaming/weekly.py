@@ -32,10 +32,10 @@ def weekly_totals(events: DataFrame, time: str, key: str, value: str, late: str
         events.withColumn(time, wall)
         .withWatermark(time, late)
         .groupBy(F.window(F.col(time), "7 days", "7 days", "4 days").alias("_window"), key)
-        .agg(F.count("*").alias("n"), F.sum(F.rint(F.col(value) * 100).cast("long")).alias("_sum"))
+        .agg(F.count("*").alias("n"), F.sum(F.rint(F.col(value) * 100).cast("decimal(28,0)")).alias("_sum"))
         .select(
             F.date_from_unix_date((start / 86_400).cast("int")).alias("week"), key, "n",
-            (F.col("_sum") / 100).alias("total"),
+            (F.col("_sum").cast("double") / 100).alias("total"),
         )
     )
 
