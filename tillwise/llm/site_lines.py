@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.staging import stage
+
 #: A line on more than this share of its host's pages is boilerplate ...
 RATIO = 0.2
 #: ... if the host has this many pages at least and the line is on this many.
@@ -44,7 +46,8 @@ def boilerplate(lined: DataFrame, ratio: float = RATIO, least_pages: int = LEAST
     # Few lines are common; the rare ones need not meet the totals.
     often = counts.filter(F.col("on") >= least_pages).join(totals, F.col("host").eqNullSafe(F.col("of")))
     often = often.filter((F.col("pages") >= least_pages) & (F.col("on") > F.lit(ratio) * F.col("pages")))
-    return often.groupBy("host").agg(F.collect_set("line").alias("dropped"))
+    # Written, so that the join behind it knows its size and can split a host with very many pages.
+    return stage(often.groupBy("host").agg(F.collect_set("line").alias("dropped")), "site-lines")
 
 
 def drop_lines(lined: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
