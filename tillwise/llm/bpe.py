@@ -35,7 +35,9 @@ class Encoder:
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         token = {v: k for k, v in ranks.items()} | {v: k.encode() for k, v in self.special.items()}
         self.token_bytes = [token.get(i, b"") for i in range(max(token) + 1)]
-        self.digits = [b"%d" % i for i in range(len(self.token_bytes))]
+        # One row per id: its digits and a comma, filled up with zero bytes.
+        digits = np.array([b"%d," % i for i in range(len(self.token_bytes))])
+        self.digits = digits.view(np.uint8).reshape(len(digits), -1)
         self.token_lengths = np.array([len(t) for t in self.token_bytes], dtype=np.int64)
 
     def encode(self, text: str) -> np.ndarray:
@@ -51,7 +53,7 @@ class Encoder:
         raw = b"".join(map(self.token_bytes.__getitem__, ids.tolist()))
         return raw.decode("utf-8", errors="replace").encode("utf-8")
 
-
     def decimal_list(self, ids: np.ndarray) -> bytes:
         """The ids in decimal digits, joined by commas."""
-        return b",".join(map(self.digits.__getitem__, ids.tolist()))
+        digits = self.digits[ids].ravel()
+        return digits[digits != 0].tobytes()[:-1]
