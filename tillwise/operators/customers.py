@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.columns import (
     MONEY_UNITS, clip, money_sum, rfm_segment, week_start, whole_days,
 )
-from tillwise.operators.ranks import SINGLE_TASK_ROWS, quintile_by_edges, quintile_by_rank
+from tillwise.operators.ranks import quintile_by_edges, quintile_by_rank
 from tillwise.staging import stage
 
 CUSTOMER = "customer_id"
@@ -82,12 +82,12 @@ def rfm_base(invoices: DataFrame, one_row_per_invoice: bool = False) -> DataFram
     )
 
 
-def rfm_scores(base: DataFrame, duplicates: str = "raise", single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def rfm_scores(base: DataFrame, duplicates: str = "raise") -> DataFrame:
     """Scores 1..5: recency by value edges (recent is 5), frequency and spend by rank."""
     n = base.count()
     scored = quintile_by_edges(base, "recency", "R", reverse=True, duplicates=duplicates)
-    scored = quintile_by_rank(scored, "frequency", CUSTOMER, "F", n, single_task_rows)
-    scored = quintile_by_rank(scored, "monetary", CUSTOMER, "M", n, single_task_rows)
+    scored = quintile_by_rank(scored, "frequency", CUSTOMER, "F", n)
+    scored = quintile_by_rank(scored, "monetary", CUSTOMER, "M", n)
     return scored.withColumns({
         "rfm_score": F.col("R") * 100 + F.col("F") * 10 + F.col("M"),
         "rfm_total": F.col("R") + F.col("F") + F.col("M"),

@@ -17,30 +17,21 @@ from pyspark.sql import functions as F
 
 from tillwise.staging import stage
 
-# Below this many rows one task sorts them faster than a range shuffle would.
-SINGLE_TASK_ROWS = 500_000
-
 
 def running_total(
     df: DataFrame,
     order: Sequence[str],
     weight: Column | None = None,
     into: str = "running",
-    rows: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add the running sum of ``weight`` (default: a row number from 1) in ``order``.
 
     ``order`` must be unique per row, ascending, nulls last; a unique order also splits
-    any run of equal leading values over several ranges. ``rows`` is the row count when
-    the caller knows it.
+    any run of equal leading values over several ranges.
     """
     keys = [F.col(c).asc_nulls_last() for c in order]
     weighted = df.withColumn("_w", F.lit(1).cast("long") if weight is None else weight)
     upto = (W.unboundedPreceding, W.currentRow)
-    if (df.count() if rows is None else rows) <= single_task_rows:
-        spec = W.orderBy(*keys).rowsBetween(*upto)
-        return weighted.withColumn(into, F.sum("_w").over(spec)).drop("_w")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = stage(
         weighted.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id()),
@@ -59,12 +50,7 @@ def running_total(
     )
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probabilities: Sequence[float],
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> list[float | None]:
+def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> list[float | None]:
     """Exact linearly interpolated quantiles of one column, nulls skipped.
 
     Equal values collapse into counts before anything is sorted; the driver receives two
@@ -74,10 +60,10 @@ def exact_quantiles(
         df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n")),
         "histogram",
     )
-    rows, total = counts.agg(F.count("*"), F.sum("_n")).first()
-    if not rows:
+    total = counts.agg(F.sum("_n")).first()[0]
+    if not total:
         return [None for _ in probabilities]
-    ranked = running_total(counts, [value], F.col("_n"), "_upto", rows, single_task_rows)
+    ranked = running_total(counts, [value], F.col("_n"), "_upto")
     places = [(total - 1) * p for p in probabilities]
     picks = [
         F.min(F.when(F.col("_upto") > side(place), F.col(value)))
@@ -97,32 +83,23 @@ def grouped_median(
     value: str,
     weight: Column | None = None,
     into: str = "median",
-    single_task_rows: int = SINGLE_TASK_ROWS,
     extremes: Sequence[str] = (),
 ) -> DataFrame:
     """Exact median of ``value`` per group, one row per group with a non-null value.
 
-    Rows first collapse to (group, value, count). Beyond ``single_task_rows`` distinct
-    pairs the medians come from one running total over all groups, so that a group with
-    very many distinct values is spread over several tasks. ``extremes`` names columns for
+    Rows first collapse to (group, value, count). The medians come from one running total
+    over all groups, so a group with very many distinct values is spread over several tasks. ``extremes`` names columns for
     the minimum and the maximum, taken from the same counts.
     """
     keys = list(keys)
-    counts = stage(
+    counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.sum(F.lit(1) if weight is None else weight).cast("long").alias("_n"))
-        .where("_n > 0"),
-        "group-histogram",
+        .where("_n > 0")
     )
     edges = [f(value).alias(name) for f, name in zip((F.min, F.max), extremes)]
-    rows = counts.count()
-    if rows <= single_task_rows:
-        return counts.groupBy(*keys).agg(F.percentile(value, 0.5, F.col("_n")).alias(into), *edges)
-    ranked = stage(
-        running_total(counts, [*keys, value], F.col("_n"), "_upto", rows, single_task_rows),
-        "ranked-histogram",
-    )
+    ranked = stage(running_total(counts, [*keys, value], F.col("_n"), "_upto"), "ranked-histogram")
     spans = ranked.groupBy(*keys).agg(
         F.min(F.col("_upto") - F.col("_n")).alias("_start"), F.sum("_n").alias("_rows")
     ).select(
@@ -165,12 +142,11 @@ def quintile_by_edges(
 
 
 def quintile_by_rank(
-    df: DataFrame, value: str, tie: str, into: str, rows: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    df: DataFrame, value: str, tie: str, into: str, rows: int | None = None
 ) -> DataFrame:
     """Scores 1..5 from the unique rank of ``value``, ties in order of ``tie``."""
     n = df.count() if rows is None else rows
-    ranked = running_total(df, [value, tie], None, "_rank", n, single_task_rows)
+    ranked = running_total(df, [value, tie], None, "_rank")
     # Integer form of ceil(5 * (rank - 1) / (n - 1)).
     place = F.expr(f"(5 * (_rank - 1) + {max(n - 2, 0)}) div {max(n - 1, 1)}")
     return ranked.withColumn(into, F.least(F.greatest(place, F.lit(1)), F.lit(5)).cast("int")).drop("_rank")

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.functions.columns import constant_map, money_sum, order_key
-from tillwise.operators.ranks import SINGLE_TASK_ROWS, grouped_median
+from tillwise.operators.ranks import grouped_median
 from tillwise.staging import stage
 
 
@@ -52,8 +52,7 @@ def attach_prices(sales: DataFrame, prices: DataFrame, keys: Sequence[str]) -> D
 
 
 def impute_price(
-    sales: DataFrame, chunk: str, item: str, store: str, price: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    sales: DataFrame, chunk: str, item: str, store: str, price: str
 ) -> DataFrame:
     """Fill missing prices by the item's median in its (store, chunk), then by the median
     of that whole (store, chunk) after the first fill.
@@ -64,7 +63,7 @@ def impute_price(
     scope = [store, chunk]
     own = F.percentile(price, 0.5).over(W.partitionBy(*scope, item))
     filled = stage(sales.withColumn(price, F.coalesce(F.col(price), own)), "priced")
-    by_scope = grouped_median(filled, scope, price, None, "_scope", single_task_rows)
+    by_scope = grouped_median(filled, scope, price, None, "_scope")
     by_scope = by_scope.select(F.col(store).alias("_store"), F.col(chunk).alias("_chunk"), "_scope")
     same = F.col(store).eqNullSafe(F.col("_store")) & F.col(chunk).eqNullSafe(F.col("_chunk"))
     return (

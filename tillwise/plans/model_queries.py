@@ -61,18 +61,18 @@ def clv_bgnbd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def k_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.k_diagnostics(_base(spark, sf_dir), "customer_id", n_init=2)
+    return clusters.k_diagnostics(_base(spark, sf_dir), "customer_id")
 
 
 @query
 def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = clusters.k_diagnostics(_base(spark, sf_dir), "customer_id", ks=range(2, 6), n_init=1)
+    table = clusters.k_diagnostics(_base(spark, sf_dir), "customer_id")
     return reports.best_k(table)
 
 
 @query
 def customer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.assign_clusters(_base(spark, sf_dir), n_init=3).select(
+    return clusters.assign_clusters(_base(spark, sf_dir)).select(
         "customer_id", "recency", "frequency", "monetary", "cluster", "cluster_label"
     )
 
@@ -84,7 +84,7 @@ def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = customers.rfm_segments(customers.rfm_scores(customers.rfm_base(bills, one_row_per_invoice=True)))
     valued = clv.customer_clv(people, customers.repeat_summary(bills))
     risky = churn.churn_scores(stage(valued, "valued"))
-    return clusters.assign_clusters(risky, n_init=3).select(
+    return clusters.assign_clusters(risky).select(
         "customer_id", "recency", "frequency", "monetary", "avg_order_value", "R", "F", "M", "rfm_score",
         "segment", "clv_historical", "clv_projected_12m", "clv_model_type", "churned",
         "churn_risk_score", "churn_risk", "cluster_label",

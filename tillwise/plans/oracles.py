@@ -14,7 +14,7 @@ from tillwise.config import (
 from tillwise.operators.churn import CHURN_FEATURES
 from tillwise.operators.forecast import DEPTH, HORIZON, SEED_LAGS
 from tillwise.plans.queries import HIGH, LOW, TOP_N, WEIGHTS
-from tillwise.sources.star import CALENDAR_AHEAD
+from tillwise.sources.star import CALENDAR_AHEAD, STOCK_DAYS
 
 
 def _money(amount: str) -> str:
@@ -185,13 +185,16 @@ SELECT item_id, store_id, date, CAST(date_trunc('week', date) AS DATE) AS week,
   CAST(floor(date_diff('day', DATE '1995-01-02', date) / 200.0) AS INTEGER) AS chunk
 FROM sale GROUP BY item_id, store_id, date""",
     "price": """
-SELECT store_id, item_id, week, sell_price
-FROM (SELECT store_id, item_id, CAST(date_trunc('week', date) AS DATE) AS week, max(unit_price) AS sell_price
-  FROM sale GROUP BY 1, 2, 3)
+SELECT store_id, item_id, CAST(date_trunc('week', date) AS DATE) AS week, max(unit_price) AS sell_price
+FROM sale GROUP BY 1, 2, 3""",
+    "gappy_price": """
+SELECT * FROM price
 WHERE item_id % 7 <> 0 AND (item_id + date_diff('day', DATE '1994-01-03', week) // 7) % 5 <> 0""",
     "item_filled": """
 SELECT d.*, coalesce(sell_price, quantile_cont(sell_price, 0.5) OVER (PARTITION BY store_id, chunk, item_id)) AS p
-FROM daily d LEFT JOIN price USING (store_id, item_id, week)""",
+FROM daily d LEFT JOIN gappy_price USING (store_id, item_id, week)""",
+    "known_sale": """
+SELECT d.*, sell_price AS unit_price FROM daily d JOIN price USING (store_id, item_id, week)""",
     "priced": """
 SELECT store_id, item_id, date, chunk, quantity,
   coalesce(p, quantile_cont(p, 0.5) OVER (PARTITION BY store_id, chunk)) AS unit_price
@@ -204,9 +207,13 @@ FROM feature f WHERE f.week >= (SELECT max(week) FROM feature) - 56 GROUP BY f.p
     "cover": """
 SELECT *, CASE WHEN weeks_to_stockout <= 2 THEN 'Critical' WHEN weeks_to_stockout <= 4 THEN 'Warning' ELSE 'Safe' END AS status
 FROM (SELECT *, round_even(current_stock / avg_weekly_qty, 1) AS weeks_to_stockout
-  FROM (SELECT *, round_even(avg_weekly_qty * (1.0::DOUBLE + CAST((CAST(split_part(product_id, '_', 3) AS INTEGER) * 31
-      + CAST(split_part(store_id, '_', 2) AS INTEGER) * 17) % 71 AS DOUBLE) / 10), 1) AS current_stock
-    FROM inventory WHERE avg_weekly_qty >= 1))""",
+  FROM (SELECT inventory.*, coalesce(units, 0) AS current_stock
+    FROM inventory LEFT JOIN open_stock USING (product_id, store_id) WHERE avg_weekly_qty >= 1))""",
+    "open_stock": f"""
+SELECT product_id, store_id, CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS units
+FROM lineitem JOIN store ON l_suppkey = supplier_id JOIN product ON l_partkey = item_id
+WHERE l_linestatus = 'O' AND CAST(l_shipdate AS DATE) > (SELECT max(CAST(l_shipdate AS DATE)) - {STOCK_DAYS} FROM lineitem)
+GROUP BY product_id, store_id""",
     "panel_price": """
 SELECT t.*, median_price, price_min, price_max FROM top_product t LEFT JOIN (
   SELECT product_id, quantile_cont(unit_price, 0.5) AS median_price, min(unit_price) AS price_min,
@@ -406,12 +413,12 @@ FROM store""",
     "price_impute": """
 SELECT store_id, item_id, date, chunk, quantity, round_even(unit_price, 6) AS unit_price FROM priced""",
     "line_items": f"""{_LINE_ITEM}, event_name_1, event_type_1, snap_CA, snap_TX, snap_WI
-FROM priced p LEFT JOIN day ON p.date = day.date""",
+FROM known_sale p LEFT JOIN day ON p.date = day.date""",
     "store_day_orders": f"""
 SELECT store_id || '_' || strftime(date, '%Y%m%d') AS order_id, store_id, date AS order_date,
   round_even({_money('quantity * unit_price')}, 6) AS total_amount, CAST(sum(quantity) AS BIGINT) AS total_units,
   count(DISTINCT item_id) AS n_items
-FROM priced GROUP BY store_id, date""",
+FROM known_sale GROUP BY store_id, date""",
     "top_products": f"""
 SELECT l_partkey AS item_id, {_money('l_quantity * (' + _UNIT_PRICE + ')')} AS revenue
 FROM lineitem GROUP BY 1 ORDER BY revenue DESC, item_id LIMIT 200""",

@@ -123,7 +123,7 @@ class Panel:
     @cached_property
     def inventory(self) -> DataFrame:
         base = stage(feat.inventory_base(self.features, self.products), "velocity")  # a row per series
-        return stock.inventory_coverage(base, stock_on_hand(base))
+        return stock.inventory_coverage(base, stock_on_hand(base, star.open_stock(self.spark, self.sf_dir)))
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -131,12 +131,10 @@ class Panel:
         return stage(rep.daily_revenue(self.lines), "daily")
 
 
-def stock_on_hand(base: DataFrame) -> DataFrame:
-    """A stock level per series: between one and eight weeks of its velocity, by rule."""
-    number = F.element_at(F.split("product_id", "_"), -1).cast("int")
-    store = F.element_at(F.split("store_id", "_"), -1).cast("int")
-    weeks = F.lit(1.0) + ((number * 31 + store * 17) % 71) / 10.0
-    return base.select("product_id", "store_id", F.bround(F.col("avg_weekly_qty") * weeks, 1).alias("current_stock"))
+def stock_on_hand(base: DataFrame, units: DataFrame) -> DataFrame:
+    """The stock of every series, 0 where no unit is left."""
+    series = ["product_id", "store_id"]
+    return base.select(*series).join(units, series, "left").na.fill(0.0, ["current_stock"])
 
 
 # ---- sources and sales tables --------------------------------------------------------
@@ -196,16 +194,12 @@ def unpivot_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.unpivot_sales(wide, ["item_id", "store_id"])
 
 
-def _item_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.weekly_prices(spark, sf_dir)
-
-
 @query
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = star.table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("dept_id"), F.col("p_type").alias("cat_id")
     )
-    out = sales.products_table(items, _item_prices(spark, sf_dir), "item_id", "sell_price")
+    out = sales.products_table(items, star.weekly_prices(spark, sf_dir), "item_id", "sell_price")
     return out.withColumnRenamed("item_id", "product_id")
 
 
@@ -220,20 +214,21 @@ def store_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.withColumn("name", store_name(F.col("store_id")))
 
 
-def _priced_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _priced_sales(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
     """Daily sales with weekly prices attached and gaps filled, in chunks of 200 days."""
     day_number = F.datediff("date", F.lit(date(1995, 1, 2)))
     daily = star.daily_sales(spark, sf_dir).withColumns({
         "week": week_start(F.col("date")), "chunk": F.floor(day_number / 200).cast("int"),
     })
-    prices = _item_prices(spark, sf_dir).withColumnRenamed("sell_price", "unit_price")
+    prices = star.weekly_prices(spark, sf_dir)
+    prices = (star.prices_with_gaps(prices) if gaps else prices).withColumnRenamed("sell_price", "unit_price")
     joined = sales.attach_prices(daily, prices, ["store_id", "item_id", "week"])
     return sales.impute_price(joined, "chunk", "item_id", "store_id", "unit_price")
 
 
 @query
 def price_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _priced_sales(spark, sf_dir).select("store_id", "item_id", "date", "chunk", "quantity", "unit_price")
+    return _priced_sales(spark, sf_dir, gaps=True).select("store_id", "item_id", "date", "chunk", "quantity", "unit_price")
 
 
 @query

@@ -20,6 +20,8 @@ from tillwise.sources.tables import read_table
 
 # Days the calendar goes on after the last sale.
 CALENDAR_AHEAD = 42
+# Open lines shipped in so many last days count as stock.
+STOCK_DAYS = 42
 
 
 # Declared, so that opening a table needs no job to read file footers.
@@ -119,17 +121,36 @@ def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A price per store, item and week, with gaps: every seventh item has no price at
-    all, and others miss every fifth week."""
+    """A price per store, item and week."""
     week = week_start(F.col("date"))
-    number = F.expr("date_diff(week, DATE'1994-01-03') div 7")
     return (
         store_sales(spark, sf_dir).groupBy("store_id", "item_id", week.alias("week"))
         .agg(F.max("unit_price").alias("sell_price"))
-        .where((F.col("item_id") % 7 != 0) & ((F.col("item_id") + number) % 5 != 0))
     )
 
 
+def prices_with_gaps(prices: DataFrame) -> DataFrame:
+    """Work for the imputation: every seventh item has no price at all, and others miss
+    every fifth week."""
+    number = F.expr("date_diff(week, DATE'1994-01-03') div 7")
+    return prices.where((F.col("item_id") % 7 != 0) & ((F.col("item_id") + number) % 5 != 0))
+
+
+def open_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock per panel product and store: units on the open lines of the last weeks."""
+    day = F.col("l_shipdate").cast("date")
+    lines = table(spark, sf_dir, "lineitem")
+    since = lines.agg(F.max(day)).first()[0] - timedelta(days=STOCK_DAYS)
+    still_open = lines.where((F.col("l_linestatus") == "O") & (F.col("l_shipdate") >= F.lit(since + timedelta(days=1)))).select(
+        F.col("l_partkey").alias("item_id"), F.col("l_suppkey").alias("supplier_id"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+    )
+    stores = supplier_stores(spark, sf_dir).select("supplier_id", "store_id")
+    products = part_products(spark, sf_dir).select("item_id", "product_id")
+    placed = dim_join(dim_join(still_open, stores, "supplier_id", "inner"), products, "item_id", "inner")
+    return placed.groupBy("product_id", "store_id").agg(F.sum("quantity").cast("double").alias("current_stock"))
+
+
 def calendar_days(first: date, last: date, spark: SparkSession) -> DataFrame:
     """Every day from ``first`` to ``last`` with its events and benefit-payment flags."""
     month, day, weekday = F.month("date"), F.dayofmonth("date"), F.weekday("date")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,11 +19,11 @@ def scratch_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not shared:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = _local_roots.setdefault(
-            sc.applicationId, tempfile.mkdtemp(prefix="tillwise-")
-        )
+        if sc.applicationId not in _local_roots:
+            _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="tillwise-")
+        shared = _local_roots[sc.applicationId]
     return f"{shared.rstrip('/')}/tillwise/{sc.applicationId}"
 
 
