@@ -6,6 +6,7 @@ import base64
 import json
 import re
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -16,6 +17,13 @@ VOCABULARY = "byte_bpe_50k"
 _BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 
 
+@lru_cache(maxsize=1)
+def special_tokens(vocabulary: str = VOCABULARY) -> dict[str, int]:
+    """Strings and ids of the vocabulary's special tokens."""
+    with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 class Encoder:
     """Texts beyond Latin letters, or with a special token's string, go to the library itself.
 
@@ -25,8 +33,7 @@ class Encoder:
 
     def __init__(self, vocabulary: str = VOCABULARY) -> None:
         path = public_tokenizers.path(f"{vocabulary}.json")
-        with open(path, encoding="utf-8") as file:
-            self.special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+        self.special = special_tokens(vocabulary)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -57,3 +64,9 @@ class Encoder:
         """The ids in decimal digits, joined by commas."""
         digits = self.digits[ids].ravel()
         return digits[digits != 0].tobytes()[:-1]
+
+
+@lru_cache(maxsize=1)
+def shared_encoder(vocabulary: str = VOCABULARY) -> Encoder:
+    """The encoder of a Python worker, loaded once for all of its tasks."""
+    return Encoder(vocabulary)

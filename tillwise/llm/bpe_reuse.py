@@ -18,8 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.bpe import VOCABULARY, Encoder
-from tillwise.llm.common import bitmap, gear_hash, gear_table, split_by
+from tillwise.llm.bpe import VOCABULARY, Encoder, shared_encoder, special_tokens
+from tillwise.llm.common import bitmap, gear_hash, gear_table, sliced, split_by
 from tillwise.staging import stage
 
 #: Chunk sizes in bytes: none but the last is shorter, one in so many positions ends a chunk
@@ -129,14 +129,14 @@ def chunk_table(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per chunk: doc_id, digest of its text, place, and the chunk's own digest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        special, table = tuple(Encoder(vocabulary).special), gear_table(_GEAR_SEED)
-        for batch in batches:
+        special, table = tuple(special_tokens(vocabulary)), gear_table(_GEAR_SEED)
+        for batch in sliced(batches):
             ids, digests, places, keys = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if not text:
                     continue
                 parts = chunks(text, special, table)
-                own = xxhash.xxh3_128_digest(text.encode())
+                own = hashlib.md5(text.encode(), usedforsecurity=False).digest()
                 ids += [doc] * len(parts)
                 digests += [own] * len(parts)
                 places += range(len(parts))
@@ -150,13 +150,8 @@ def chunk_table(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 
 def with_digest(docs: DataFrame) -> DataFrame:
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            own = [xxhash.xxh3_128_digest((t or "").encode()) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.binary())], names=["doc_id", "text", "digest"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(add, "doc_id long, text string, digest binary")
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    return docs.select(F.col("doc_id").cast("long"), "text", digest.alias("digest"))
 
 
 def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
@@ -181,9 +176,9 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bo
     near, _ = split_by(by_text, bitmap(common, "doc", "digest"), "doc", "digest")
 
     def encode_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, table = Encoder(vocabulary), gear_table(_GEAR_SEED)
+        encoder, table = shared_encoder(vocabulary), gear_table(_GEAR_SEED)
         special = tuple(encoder.special)
-        for batch in batches:
+        for batch in sliced(batches):
             keys, ids = [], []
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 parts = chunks(text, special, table)
@@ -204,22 +199,18 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bo
     reused = places.join(shared, "key").groupBy("digest").agg(F.collect_list(F.struct("place", "ids")).alias("reused"))
     reused = stage(reused, "bpe-reused")
 
-    rows = with_digest(docs)
-    some, none = split_by(rows, bitmap(reused.select("digest"), "digest"), "digest")
-    some = some.join(reused, "digest", "left").select("doc_id", "text", "reused")
-    none = none.select("doc_id", "text", F.lit(None).cast("array<struct<place:int,ids:binary>>").alias("reused"))
-
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_chunks long, n_reused long"
     schema += ", ids array<int>, decoded string" if with_ids else ""
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, table = Encoder(vocabulary), gear_table(_GEAR_SEED)
+    def finish(batches: Iterator[pa.RecordBatch], reuse: bool) -> Iterator[pa.RecordBatch]:
+        encoder, table = shared_encoder(vocabulary), gear_table(_GEAR_SEED)
         special = tuple(encoder.special)
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
-            for doc, text, known in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            known = batch.column(2).to_pylist() if reuse else [None] * batch.num_rows
+            for doc, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), known, strict=True):
                 parts = chunks(text or "", special, table)
-                ready = {k["place"]: np.frombuffer(k["ids"], np.uint32) for k in known or ()}
+                ready = {k["place"]: np.frombuffer(k["ids"], np.uint32) for k in own or ()}
                 ids = assembled(encoder, parts, ready)
                 row = (doc, *_result(encoder, ids), len(parts), len(ready))
                 out.append(row + ((ids.tolist(), encoder.decode(ids).decode()) if with_ids else ()))
@@ -228,4 +219,8 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bo
             columns = list(zip(*out, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return some.mapInArrow(finish, schema).unionByName(none.mapInArrow(finish, schema))
+    some, none = split_by(
+        with_digest(docs), bitmap(reused.select("digest"), "digest"), "digest", rest=(lambda b: finish(b, reuse=False), schema)
+    )
+    some = some.join(reused, "digest", "left").select("doc_id", "text", "reused")
+    return some.mapInArrow(lambda b: finish(b, reuse=True), schema).unionByName(none)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,8 +80,23 @@ def bitmap(keys: DataFrame, *columns: str) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def split_by(df: DataFrame, bits: np.ndarray, *columns: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key may be in the bitmap, and rows whose key is certainly not."""
+Batches = Iterator[pa.RecordBatch]
+
+
+def sliced(batches: Batches, rows: int = 512) -> Batches:
+    """Smaller batches, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def split_by(
+    df: DataFrame, bits: np.ndarray, *columns: str, rest: tuple[Callable[[Batches], Batches], str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be in the bitmap, and rows whose key is certainly not.
+
+    ``rest`` is a function with its schema that the latter go through in the same Python worker.
+    """
     shared = df.sparkSession.sparkContext.broadcast(bits)
 
     def test(batches: Iterator[pa.RecordBatch], want: bool) -> Iterator[pa.RecordBatch]:
@@ -92,7 +107,8 @@ def split_by(df: DataFrame, bits: np.ndarray, *columns: str) -> tuple[DataFrame,
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(hit == want))
 
     slotted = df.withColumn("__slot", F.pmod(F.xxhash64(*columns), F.lit(BITMAP_BITS)))
+    further, schema = rest or (lambda b: b, df.schema)
     return (
         slotted.mapInArrow(lambda b: test(b, True), df.schema),
-        slotted.mapInArrow(lambda b: test(b, False), df.schema),
+        slotted.mapInArrow(lambda b: further(test(b, False)), schema),
     )

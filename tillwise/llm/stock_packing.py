@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.bpe import VOCABULARY, Encoder
+from tillwise.llm.bpe import VOCABULARY, shared_encoder
 from tillwise.staging import stage
 
 SEQUENCE = 2048
@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, size: int = SEQUENCE)
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = shared_encoder(vocabulary)
         for batch in batches:
             rows = []
             for doc, text, key in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
