@@ -45,6 +45,12 @@ def test_whole_table(spark):
     check([(r.doc_id, r.text) for r in docs.collect()], sp.pack(docs).collect(), 0.01)
 
 
+def test_inverse():
+    draw = np.random.default_rng(5)
+    basis = draw.integers(1, 5, (60, 60)) * (draw.random((60, 60)) < 0.1) + np.eye(60)[draw.permutation(60)] * 9.0
+    assert np.allclose(sp.inverted(basis) @ basis, np.eye(60))
+
+
 def test_plan_meets_the_demand():
     draw = np.random.default_rng(3)
     for most, rows in ((40, 30), (2047, 5000), (300, 100_000)):

@@ -137,6 +137,23 @@ def exhausted(lengths: np.ndarray, demand: np.ndarray, size: int, whole: bool) -
     return np.array(patterns, dtype=np.int64).reshape(-1, len(lengths)), np.array(uses)
 
 
+def inverted(basis: np.ndarray) -> np.ndarray:
+    """Inverse by one pivot for each column, which are sparse.
+
+    Not by LAPACK: its threads can stand still in a driver that was forked from.
+    """
+    n = len(basis)
+    inverse, free, place = np.eye(n), np.ones(n, dtype=bool), np.zeros(n, dtype=np.int64)
+    for k in range(n):
+        on = np.flatnonzero(basis[:, k])
+        move = (inverse[:, on] * basis[on, k]).sum(axis=1)
+        out = int(np.where(free, np.abs(move), -1).argmax())
+        row, rows = inverse[out] / move[out], np.flatnonzero(move)
+        inverse[rows] -= move[rows, None] * row
+        inverse[out], free[out], place[k] = row, False, out
+    return inverse[place]
+
+
 def column_generation(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows) and how often each is used in the linear program's solution.
 
@@ -150,20 +167,20 @@ def column_generation(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUE
     if cost @ used <= tokens * (1 + GAP):
         return start, used
     basis = start.T.astype(float)
-    inverse, used = np.linalg.inv(basis), used.astype(float)
+    inverse, used = inverted(basis), used.astype(float)
     fills = np.arange(1, size + 1)
     price = padded_size(fills, size).astype(float)
     for _ in range(ROUNDS):
-        best, last = priced(cost @ inverse, lengths, size)
+        best, last = priced(np.einsum("i,ij->j", cost, inverse), lengths, size)
         bound = cost @ used / max(1.0, (best[1:] / price).max())
         if cost @ used <= max(bound, tokens) * (1 + GAP):
             break
         entered = False
         for fill in fills[np.argsort(price - best[1:])[:4]].tolist():
             column = pattern(last, lengths, fill) if np.isfinite(best[fill]) else None
-            if column is None or (cost @ inverse) @ column - price[fill - 1] <= 1e-6:
+            if column is None or np.einsum("i,ij->j", cost, inverse) @ column - price[fill - 1] <= 1e-6:
                 continue
-            move = inverse @ column
+            move = np.einsum("ij,j->i", inverse, column)
             can = move > 1e-9
             if not can.any():
                 continue
