@@ -315,8 +315,10 @@ def stretches(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     sorted_out = small.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_groups, _STRETCH)
     strings = fetched.filter(F.col("kinds") > group_rows).select("key", "around", "left", "right")
     strings = strings.mapInArrow(_string_hashes, "key long, around long, low int, string binary")
-    twice = strings.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
-    dealt = strings.join(twice, "string", "left_semi").select("key", "around", "low", F.col("low").alias("high"))
+    # By anchor and place too: one string may hold several anchors, and is then dealt out by each.
+    same = ["key", "low", "string"]
+    twice = strings.groupBy(*same).agg(F.count("*").alias("n")).filter("n > 1").select(*same)
+    dealt = strings.join(twice, same, "left_semi").select("key", "around", "low", F.col("low").alias("high"))
     equal = kinds.filter("n > 1").select("key", "around", F.lit(0).alias("low"), F.lit(PLACES - 1).alias("high"))
     found = sorted_out.unionByName(dealt).unionByName(equal)
     found = found.groupBy("key", "around").agg(F.collect_list(F.struct("low", "high")).alias("places"))  # at most one for each place
