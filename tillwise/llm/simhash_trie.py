@@ -27,14 +27,23 @@ BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TRIE_ROWS = 4096
 SPLIT_BITS = 6
 
+#: Near-duplicates of the pipeline: shingles of five words, Jaccard similarity of 4/5 at least.
+NEAR_WORDS, SIMILARITY = 5, (4, 5)
+#: Two sets of similarity 0.8 lie about 10 of 64 bits apart, beyond any budget that tries can
+#: serve; all but 5 in ten million such pairs have one of 48 bands of 6 minima in common.
+BANDS, BAND_ROWS = 48, 6
+_DRAW = np.random.default_rng(8)
+_SALT, _ODD = (_DRAW.integers(0, 1 << 64, BANDS * BAND_ROWS, dtype=np.uint64) for _ in range(2))
+_ODD |= np.uint64(1)
+
 _LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
-    """64-bit SimHash of the word shingles, repeats included; zero without words."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """64-bit hashes of the word shingles, repeats included; all words if there are fewer."""
     found = (text or "").encode().translate(_LOWER).split()
     if not found:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(found)
     ends = np.cumsum([len(w) + 1 for w in found]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -43,7 +52,11 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], dtype="<u8")
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], dtype="<u8")
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """64-bit SimHash of shingle hashes; zero without any."""
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 14):
         part = hashes[at : at + (1 << 14)]
@@ -52,6 +65,11 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(bits.view("<u8")[0])
 
 
+def fingerprint(text: str | None, words: int = WORDS) -> int:
+    """64-bit SimHash of the word shingles, repeats included; zero without words."""
+    return simhash(shingle_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id and its fingerprint as a signed 64-bit number."""
 
@@ -249,12 +267,122 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The documents with one of each component kept: the one that names it.
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """A key for each band of minima: equal where two sets have the same BAND_ROWS minima."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), 1 << 10):
+        part = hashes[at : at + (1 << 10), None]
+        np.minimum(least, ((part ^ _SALT) * _ODD).min(axis=0), out=least)
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(least.reshape(BANDS, BAND_ROWS))], dtype=np.uint64)
+
+
+def _mark() -> F.Column:
+    return F.coalesce(F.md5("text"), F.lit(""))
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, mark (of the text), id and size of its set of shingles, SimHash and band keys."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sizes, prints, keys = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                hashes = shingle_hashes(text, words)
+                known = np.unique(hashes)
+                ids.append(xxhash.xxh3_128_hexdigest(known.tobytes()))
+                sizes.append(len(known))
+                prints.append(simhash(hashes))
+                keys.append(bands(known).view(np.int64))
+            columns = [batch.column(0), batch.column(1), pa.array(ids), pa.array(sizes, pa.int64()), pa.array(np.array(prints, dtype=np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "id", "n", "fp", "keys"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), _mark().alias("mark"), "text")
+    return rows.mapInArrow(make, "doc_id long, mark string, id string, n long, fp long, keys array<long>")
+
+
+def alike(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) of sets whose exact Jaccard similarity is SIMILARITY at least."""
 
-    Of repeated rows with that doc_id, one stays as well (the least by text).
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
+
+    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    asked = classes.join(named, "id").select("id", F.col("first.doc_id").alias("__doc"), F.col("first.mark").alias("__mark"))
+    texts = docs.select(F.col("doc_id").cast("long"), _mark().alias("mark"), "text").join(
+        asked, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("mark") == F.col("__mark"))
+    )
+    texts = texts.groupBy("id").agg(F.min("text").alias("text"))
+    sets = stage(texts.mapInArrow(make, "id string, s array<long>"), "shingle-sets")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    over, under = SIMILARITY
+    return both.filter(under * common >= over * (F.size("x") + F.size("y") - common)).select("a", "b")
+
+
+def _sizes_fit(n: str, m: str) -> F.Column:
+    over, under = SIMILARITY
+    return (under * F.col(n) >= over * F.col(m)) & (under * F.col(m) >= over * F.col(n))
+
+
+def near_sets(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
+    """id, root and first (doc_id and mark) of each different set of word shingles.
+
+    Roots are equal where sets are connected by pairs of Jaccard similarity 0.8 or more. Links
+    of the SimHash tries, and of each band's sets to its least one, are checked first; then all
+    pairs that share a band and are not connected yet, so no pair within the bands is left out
+    and a large group of copies is not paired with itself.
+    """
+    rows = stage(shingle_sets(docs, words), "near-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    classes = stage(rows.groupBy("id").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("keys").alias("keys")), "near-classes")
+
+    dealt = stage(classes.filter("n > 0").select("id", "n", F.explode("keys").alias("key")), "near-bands")
+    hubs = dealt.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct("id", "n")).alias("hub")).filter("rows > 1")
+    dealt = stage(dealt.join(stage(hubs, "near-hubs"), "key"), "near-shared")
+    starred = dealt.filter((F.col("id") != F.col("hub.id")) & _sizes_fit("n", "hub.n")).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
+
+    prints = stage(classes.filter("n > 0").groupBy("fp").agg(F.min(F.struct("id", "n")).alias("one")), "near-prints")
+    close = links(prints.select("fp"))
+    close = close.join(prints.select(F.col("fp").alias("a"), F.col("one").alias("p")), "a").join(prints.select(F.col("fp").alias("b"), F.col("one").alias("q")), "b")
+    close = close.filter(_sizes_fit("p.n", "q.n")).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"))
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    first = stage(starred.unionByName(close).select(*ordered).distinct(), "near-first")
+    found = stage(alike(first, classes, docs, words), "near-links")
+    roots = components(found)
+
+    # Pairs that share a band and have different roots, by pairs of roots in the band.
+    rooted = dealt.select("id", "n", "key").join(roots.withColumnRenamed("node", "id"), "id", "left")
+    rooted = stage(rooted.withColumn("root", F.coalesce("root", "id")), "near-rooted")
+    held = rooted.groupBy("key", "root").agg(F.count("*").alias("m"))
+    apart = held.groupBy("key").agg(F.count("*").alias("roots")).filter("roots > 1").select("key")
+    rooted = stage(rooted.join(apart, "key"), "near-apart")
+    held = stage(rooted.groupBy("key", "root").agg(F.min("n").alias("low"), F.max("n").alias("high")), "near-held")
+    over, under = SIMILARITY
+    left, right = (held.select("key", *[F.col(c).alias(c + s) for c in ("root", "low", "high")]) for s in "12")
+    meets = left.join(right, "key").filter(
+        (F.col("root1") < F.col("root2")) & (under * F.col("high1") >= over * F.col("low2")) & (under * F.col("high2") >= over * F.col("low1"))
+    )
+    meets = stage(meets.select("key", "root1", "root2"), "near-meets")
+    side = lambda s, c: rooted.select("key", F.col("root").alias("root" + s), F.col("id").alias(c), F.col("n").alias("n" + s))
+    rest = meets.join(side("1", "a"), ["key", "root1"]).join(side("2", "b"), ["key", "root2"]).filter(_sizes_fit("n1", "n2"))
+    rest = stage(rest.select(*ordered).distinct().join(first, ["a", "b"], "left_anti"), "near-rest")
+    more = stage(alike(rest, classes, docs, words), "near-more")
+    roots = components(found.unionByName(more)).withColumnRenamed("node", "id")
+    return classes.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def keep_one(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
+    """The documents with one of each group of near-duplicates kept: its least doc_id.
+
+    Documents link at a Jaccard similarity of 0.8 or more of their sets of word shingles (ASCII
+    letters in lower case), which is checked exactly; texts without words are alike. Of repeated rows
+    one stays; rows of one doc_id with texts that are not alike stay; a null doc_id is kept only
+    where its group has no other.
     """
-    found = near_duplicates(docs, words).select("doc_id", "component_id").distinct()
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept"))
-    chosen = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return chosen.dropDuplicates(["doc_id"])
+    kept = near_sets(docs, words).groupBy("root").agg(F.min("first").alias("first"))
+    kept = stage(kept.select(F.col("first.doc_id").alias("__kept"), F.col("first.mark").alias("__of")), "near-kept")
+    marked = docs.withColumn("__mark", _mark())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")) & (F.col("__mark") == F.col("__of"))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__mark"]).drop("__mark")
