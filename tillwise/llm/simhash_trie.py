@@ -300,75 +300,80 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(make, "doc_id long, mark string, id string, n long, fp long, keys array<long>")
 
 
-def alike(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) of sets whose exact Jaccard similarity is SIMILARITY at least."""
+def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """id and its set of shingle hashes."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
 
-    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    asked = classes.join(named, "id").select("id", F.col("first.doc_id").alias("__doc"), F.col("first.mark").alias("__mark"))
+    asked = classes.join(ids.distinct(), "id").select("id", F.col("first.doc_id").alias("__doc"), F.col("first.mark").alias("__mark"))
     texts = docs.select(F.col("doc_id").cast("long"), _mark().alias("mark"), "text").join(
         asked, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("mark") == F.col("__mark"))
     )
-    texts = texts.groupBy("id").agg(F.min("text").alias("text"))
-    sets = stage(texts.mapInArrow(make, "id string, s array<long>"), "shingle-sets")
+    return stage(texts.groupBy("id").agg(F.min("text").alias("text")).mapInArrow(make, "id string, s array<long>"), "near-sets")
+
+
+def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets whose exact Jaccard similarity is SIMILARITY at least."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     over, under = SIMILARITY
     return both.filter(under * common >= over * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
-def _sizes_fit(n: str, m: str) -> F.Column:
+def _may_be_alike(n: str, c: str, m: str, d: str) -> F.Column:
+    """Whether sets of n and m shingles, of which c and d stand in another set too, can be similar."""
     over, under = SIMILARITY
-    return (under * F.col(n) >= over * F.col(m)) & (under * F.col(m) >= over * F.col(n))
+    return (over + under) * F.least(F.col(c), F.col(d)) >= over * (F.col(n) + F.col(m))
 
 
 def near_sets(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
     """id, root and first (doc_id and mark) of each different set of word shingles.
 
     Roots are equal where sets are connected by pairs of Jaccard similarity 0.8 or more. Links
-    of the SimHash tries, and of each band's sets to its least one, are checked first; then all
-    pairs that share a band and are not connected yet, so no pair within the bands is left out
-    and a large group of copies is not paired with itself.
+    of the SimHash tries, and of each band's sets to the one with the fewest shingles of its own,
+    are checked first; then all pairs that share a band and are not connected yet. A pair has no
+    more shingles in common than either has that stand in another set too; that bound spares
+    the check of most sets beside a large group of copies, and no pair that is alike.
     """
     rows = stage(shingle_sets(docs, words), "near-rows")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     classes = stage(rows.groupBy("id").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("keys").alias("keys")), "near-classes")
 
     dealt = stage(classes.filter("n > 0").select("id", "n", F.explode("keys").alias("key")), "near-bands")
-    hubs = dealt.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.struct("id", "n")).alias("hub")).filter("rows > 1")
-    dealt = stage(dealt.join(stage(hubs, "near-hubs"), "key"), "near-shared")
-    starred = dealt.filter((F.col("id") != F.col("hub.id")) & _sizes_fit("n", "hub.n")).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
-
-    prints = stage(classes.filter("n > 0").groupBy("fp").agg(F.min(F.struct("id", "n")).alias("one")), "near-prints")
+    several = stage(dealt.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key"), "near-keys")
+    dealt = stage(dealt.join(several, "key"), "near-shared")
+    prints = stage(classes.filter("n > 0").groupBy("fp").agg(F.min("id").alias("one")), "near-prints")
     close = links(prints.select("fp"))
     close = close.join(prints.select(F.col("fp").alias("a"), F.col("one").alias("p")), "a").join(prints.select(F.col("fp").alias("b"), F.col("one").alias("q")), "b")
-    close = close.filter(_sizes_fit("p.n", "q.n")).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"))
+    close = stage(close.select(F.col("p").alias("a"), F.col("q").alias("b")), "near-close")
+
+    sets = sets_of(dealt.select("id").unionByName(close.select(F.explode(F.array("a", "b")).alias("id"))), classes, docs, words)
+    own = sets.select("id", F.explode("s").alias("h")).groupBy("h").agg(F.count("*").alias("on"), F.min("id").alias("id")).filter("on = 1")
+    own = stage(own.groupBy("id").agg(F.count("*").alias("own")), "near-own")
+    dealt = stage(dealt.join(own, "id", "left").select("id", "n", "key", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c")), "near-dealt")
+    hubs = stage(dealt.groupBy("key").agg(F.min(F.struct((F.col("n") - F.col("c")).alias("own"), "id", "n", "c")).alias("hub")), "near-hubs")
+    starred = dealt.join(hubs, "key").filter((F.col("id") != F.col("hub.id")) & _may_be_alike("n", "c", "hub.n", "hub.c"))
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    starred = starred.select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
     first = stage(starred.unionByName(close).select(*ordered).distinct(), "near-first")
-    found = stage(alike(first, classes, docs, words), "near-links")
+    found = stage(alike(first, sets), "near-links")
     roots = components(found)
 
     # Pairs that share a band and have different roots, by pairs of roots in the band.
-    rooted = dealt.select("id", "n", "key").join(roots.withColumnRenamed("node", "id"), "id", "left")
-    rooted = stage(rooted.withColumn("root", F.coalesce("root", "id")), "near-rooted")
-    held = rooted.groupBy("key", "root").agg(F.count("*").alias("m"))
-    apart = held.groupBy("key").agg(F.count("*").alias("roots")).filter("roots > 1").select("key")
-    rooted = stage(rooted.join(apart, "key"), "near-apart")
-    held = stage(rooted.groupBy("key", "root").agg(F.min("n").alias("low"), F.max("n").alias("high")), "near-held")
+    rooted = dealt.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     over, under = SIMILARITY
-    left, right = (held.select("key", *[F.col(c).alias(c + s) for c in ("root", "low", "high")]) for s in "12")
-    meets = left.join(right, "key").filter(
-        (F.col("root1") < F.col("root2")) & (under * F.col("high1") >= over * F.col("low2")) & (under * F.col("high2") >= over * F.col("low1"))
-    )
+    rooted = stage(rooted.filter(under * F.col("c") >= over * F.col("n")), "near-rooted")
+    held = stage(rooted.groupBy("key", "root").agg(F.min("n").alias("n"), F.max("c").alias("c")), "near-held")
+    left, right = (held.select("key", *[F.col(x).alias(x + i) for x in ("root", "n", "c")]) for i in "12")
+    meets = left.join(right, "key").filter((F.col("root1") < F.col("root2")) & _may_be_alike("n1", "c1", "n2", "c2"))
     meets = stage(meets.select("key", "root1", "root2"), "near-meets")
-    side = lambda s, c: rooted.select("key", F.col("root").alias("root" + s), F.col("id").alias(c), F.col("n").alias("n" + s))
-    rest = meets.join(side("1", "a"), ["key", "root1"]).join(side("2", "b"), ["key", "root2"]).filter(_sizes_fit("n1", "n2"))
+    side = lambda i, x: rooted.select("key", F.col("root").alias("root" + i), F.col("id").alias(x), F.col("n").alias("n" + i), F.col("c").alias("c" + i))
+    rest = meets.join(side("1", "a"), ["key", "root1"]).join(side("2", "b"), ["key", "root2"]).filter(_may_be_alike("n1", "c1", "n2", "c2"))
     rest = stage(rest.select(*ordered).distinct().join(first, ["a", "b"], "left_anti"), "near-rest")
-    more = stage(alike(rest, classes, docs, words), "near-more")
+    more = stage(alike(rest, sets), "near-more")
     roots = components(found.unionByName(more)).withColumnRenamed("node", "id")
     return classes.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
