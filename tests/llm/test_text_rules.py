@@ -234,6 +234,20 @@ def test_document_lines(frame):
     assert out[12] == (None, None) and out[13] == ("", 0) and out[14] == (" \n", 2) and out[15] == ("notice\n", 7)
 
 
+def test_planted_lines_of_a_whole_table_go_and_no_others(spark):
+    docs = documents(spark, "/root/testdata/sf0.1").select("doc_id", "text", "source", "n_chars")
+    rows = docs.collect()
+    pages, on = Counter(r.source for r in rows), Counter()
+    for r in rows:
+        on.update((r.source, x) for x in set((r.text or "").split("\n")) if x.strip(" "))
+    planted = Counter(x for (_, x), n in on.items() if n > 40).most_common()
+    assert planted == [(planted[0][0], len(pages))] and max(n / pages[s] for (s, _), n in on.items()) < site_lines.RATIO
+    got = {r.doc_id: r.text for r in site_lines.clean_documents(docs).collect()}
+    want = {r.doc_id: "\n".join(x for x in r.text.split("\n") if x != planted[0][0]) for r in rows if r.text is not None}
+    assert got.items() <= want.items() and got != {r.doc_id: r.text for r in rows}
+    assert all(not want[r.doc_id].strip() for r in rows if r.doc_id not in got)
+
+
 def test_chat_views_equal_sql(spark, monkeypatch):
     rows = [(1, t, r, f"{r} says {t}") for t, r in enumerate(["system", "ann", "bob", "ann", "cy", "bob"] * 120)]
     rows += [(2, 0, None, None), (2, None, "ann", "ü"), (2, 0, "ann", "x"), (2, 0, "ann", "x"), (3, 0, "system", "alone"), (None, 1, "bob", "hi"), (None, 0, "cy", "")]

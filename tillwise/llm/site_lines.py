@@ -17,6 +17,9 @@ from tillwise.staging import stage
 RATIO = 0.2
 #: ... if the host has this many pages at least and the line is on this many.
 LEAST_PAGES = 5
+#: A source of documents is far wider than a host: there a line on this smaller share goes as
+#: well, if it is on as many documents as SOURCE_LEAST.
+SOURCE_RATIO, SOURCE_LEAST = 0.07, 20
 
 #: Script, style and comments go; any other tag ends a line. Also used in the SQL.
 HIDDEN = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
@@ -38,14 +41,20 @@ def digest(line: Column) -> Column:
     return F.unhex(F.md5(F.encode(line, "UTF-8")))
 
 
-def boilerplate(lined: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """Per ``host`` the digests of its boilerplate lines, from rows of ``host, lines``."""
+def boilerplate(lined: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES, wide: tuple[float, int] | None = None) -> DataFrame:
+    """Per ``host`` the digests of its boilerplate lines, from rows of ``host, lines``.
+
+    ``wide`` has a second ratio and a least count of pages; a line above either ratio is listed.
+    """
     totals = lined.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("pages"))
     seen = lined.select("host", F.explode(F.array_distinct(F.transform("lines", digest))).alias("line"))
     counts = seen.groupBy("host", "line").agg(F.count("*").alias("on"))
     # Few lines are common; the rare ones need not meet the totals.
     often = counts.filter(F.col("on") >= least_pages).join(totals, F.col("host").eqNullSafe(F.col("of")))
-    often = often.filter((F.col("pages") >= least_pages) & (F.col("on") > F.lit(ratio) * F.col("pages")))
+    above = (F.col("pages") >= least_pages) & (F.col("on") > F.lit(ratio) * F.col("pages"))
+    if wide:
+        above |= (F.col("on") >= wide[1]) & (F.col("on") > F.lit(wide[0]) * F.col("pages"))
+    often = often.filter(above)
     # Written, so that the join behind it knows its size and can split a host with very many pages.
     return stage(often.groupBy("host").agg(F.collect_set("line").alias("dropped")), "site-lines")
 
@@ -77,6 +86,8 @@ def clean_pages(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST
 def clean_documents(docs: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """Documents with their source as host: columns stay, text and n_chars are of what is kept.
 
+    A line goes by the rule of pages, or if it is on SOURCE_LEAST documents of its source and
+    on more than SOURCE_RATIO of them; copies of a document count as documents.
     Lines are split at line feeds and compared as they are; empty lines are kept. A document
     that had text and keeps none but white space goes; null and empty texts stay as they are.
     """
@@ -84,7 +95,7 @@ def clean_documents(docs: DataFrame, ratio: float = RATIO, least_pages: int = LE
     lined = docs.select(
         F.struct(*names).alias("__row"), F.col("source").alias("host"), F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != "").alias("lines")
     )
-    found = boilerplate(lined.select("host", F.coalesce("lines", F.array().cast("array<string>")).alias("lines")), ratio, least_pages)
+    found = boilerplate(lined.select("host", F.coalesce("lines", F.array().cast("array<string>")).alias("lines")), ratio, least_pages, (SOURCE_RATIO, SOURCE_LEAST))
     found = found.select(F.col("host").alias("__host"), F.col("dropped").alias("__dropped"))
     both = lined.join(found, F.col("host").eqNullSafe(F.col("__host")), "left")
     stay = F.filter(F.split("__row.text", "\n", -1), lambda x: ~F.array_contains("__dropped", digest(x)))
