@@ -198,6 +198,24 @@ def test_estimate_is_robust(spark):
     assert (distance[400:] > mcd_rules.CUTOFF).all() and (distance[:400] < mcd_rules.CUTOFF).mean() > 0.99
 
 
+def test_estimate_bears_a_third_of_copies(spark):
+    draw = np.random.default_rng(3)
+    rows = []
+    for share, at in ((0.28, 0.5), (0.34, 0.5), (0.4, -0.4)):
+        good = draw.normal([1.6, 0.3, 0.3, 0.4], [0.1, 0.05, 0.06, 0.07], (800, 4))
+        far = draw.normal([1.6 + at, 1.0, 0.3, 0.9], 0.001, (round(800 * share / (1 - share)), 4))
+        rows += [(str(share), i < 800, *map(float, v)) for i, v in enumerate(np.concatenate([good, far]))]
+    vectors = spark.createDataFrame(rows, ["group", "good", *mcd_rules.DIMENSIONS])
+    found = mcd_rules.estimates(vectors.drop("good")).collect()
+    assert len(found) == 3
+    for r in found:
+        good, v = (np.array([x for x in col]) for col in zip(*[(x[1], x[2:]) for x in rows if x[0] == r["group"]], strict=True))
+        factor = np.array([[r[f"l{i}{j}"] if j <= i else 0.0 for j in range(4)] for i in range(4)])
+        solved = np.linalg.solve(factor, (v - [r[f"mean{i}"] for i in range(4)]).T)
+        distance = (solved**2).sum(axis=0) / r["scale"]
+        assert (distance[~good] > mcd_rules.CUTOFF).all() and (distance[good] < mcd_rules.CUTOFF).mean() > 0.99
+
+
 def test_rules_are_native(spark):
     plan = mcd_rules.judge(documents(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

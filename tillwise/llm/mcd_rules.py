@@ -25,8 +25,9 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: The transformed statistics.
 DIMENSIONS = ("word_length", "symbols", "lines", "repeats")
-#: Share of a group in the half, concentration steps, and bins of the distance for each doubling.
-HALF, STEPS, BINS = 0.75, 6, 32
+#: Centres of the starts (quantiles of each dimension), concentration steps of every start and
+#: of the best one, and bins of the distance for each doubling.
+STARTS, FIRST_STEPS, STEPS, BINS = (0.5, 0.25, 0.75), 2, 6, 32
 #: Tasks that the documents of a group are spread over.
 SALTS = 64
 #: Groups with fewer documents that pass the base rules take their language's estimate.
@@ -145,12 +146,40 @@ def _bin(distance: Column) -> Column:
     return F.floor(F.log2(F.greatest(distance, F.lit(1e-9))) * BINS).cast("int")
 
 
-def _cut(binned: DataFrame, share: float) -> DataFrame:
-    """Per group the bin up to which at least ``share`` of its rows lie."""
+def _half(rows: Column) -> Column:
+    """Rows of a group in the subset: the least number that keeps the breakdown point highest."""
+    return F.least(rows, F.floor((rows + len(DIMENSIONS) + 1) / 2))
+
+
+def _cut(binned: DataFrame, need: Callable[[Column], Column]) -> DataFrame:
+    """Per group the bin up to which at least the needed number of its rows lie."""
     counts = binned.groupBy("group", "bin").agg(F.count("*").alias("n"))
     up_to = Window.partitionBy("group").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     counts = counts.withColumn("below", F.sum("n").over(up_to)).withColumn("all", F.sum("n").over(Window.partitionBy("group")))
-    return counts.filter(F.col("below") >= F.ceil(F.col("all") * share)).groupBy("group").agg(F.min("bin").alias("cut"), F.max("all").alias("rows"))
+    return counts.filter(F.col("below") >= need(F.col("all"))).groupBy("group").agg(F.min("bin").alias("cut"), F.max("all").alias("rows"))
+
+
+def _centres(vectors: DataFrame) -> DataFrame:
+    """Per group and start the quantile of each dimension, from counts of binned values."""
+    bins = F.array(*[F.struct(F.lit(i).alias("d"), F.floor(F.col(a) * 200).cast("int").alias("bin")) for i, a in enumerate(DIMENSIONS)])
+    counts = stage(vectors.select("group", F.explode(bins).alias("v")).groupBy("group", "v.d", "v.bin").agg(F.count("*").alias("n")), "mcd-values")
+    each = Window.partitionBy("group", "d")
+    counts = counts.withColumn("below", F.sum("n").over(each.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
+    counts = counts.withColumn("all", F.sum("n").over(each)).withColumn("share", F.explode(F.array(*[F.lit(s) for s in STARTS])))
+    found = counts.filter(F.col("below") >= F.ceil(F.col("all") * F.col("share"))).groupBy("group", "share", "d").agg(F.min("bin").alias("cut"))
+    middle = [F.max(F.when(F.col("d") == i, (F.col("cut") + 0.5) / 200)).alias(f"med_{a}") for i, a in enumerate(DIMENSIONS)]
+    return found.groupBy("group", "share").agg(*middle)
+
+
+def _concentrate(vectors: DataFrame, binned: DataFrame, steps: int) -> tuple[DataFrame, DataFrame]:
+    """The estimate after so many steps, and the vectors with the bin of their distance by it."""
+    for _ in range(steps):
+        cut = _cut(binned, _half)
+        near = _spread(binned, cut).filter(F.col("bin") <= F.col("cut"))
+        factor = _cholesky(near.groupBy("group").agg(*_moments(F.lit(True)))).select("group", "m", "log_det", *_factor_columns())
+        factor = stage(factor, "mcd-factor")
+        binned = _spread(vectors, factor).select("group", *DIMENSIONS, _bin(_distance()).alias("bin"))
+    return factor, binned
 
 
 def _spread(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -163,24 +192,24 @@ def _spread(rows: DataFrame, groups: DataFrame) -> DataFrame:
 def estimates(vectors: DataFrame) -> DataFrame:
     """Per ``group`` the minimum-covariance-determinant estimate of its vectors.
 
-    The first distances come from medians of binned values, one dimension at a time. ``scale``
-    makes the median squared distance that of the chi-square distribution.
+    The first distances come from quantiles of binned values, one dimension at a time: the
+    medians, and the lower and upper quartiles. After a few steps the start of least determinant
+    goes on. ``scale`` makes the median squared distance that of the chi-square distribution.
     """
-    start = []
-    for a in DIMENSIONS:
-        bins = vectors.select("group", F.floor(F.col(a) * 200).cast("int").alias("bin"))
-        start.append(_cut(bins, 0.5).select("group", ((F.col("cut") + 0.5) / 200).alias(f"med_{a}")))
-    middle = reduce(lambda x, y: x.join(y, "group"), start)
-    first = _spread(vectors, middle)
+    several = F.concat_ws("\x01", "group", F.col("share").cast("string")).alias("group")
+    first = _spread(vectors, stage(_centres(vectors), "mcd-centres"))
     spread = reduce(lambda x, y: x + y, [((F.col(a) - F.col(f"med_{a}")) / (4 * f)) ** 2 for a, f in zip(DIMENSIONS, FLOOR, strict=True)])
-    binned = stage(first.withColumn("bin", _bin(spread)).select("group", *DIMENSIONS, "bin"), "mcd-start")
-    for _ in range(STEPS):
-        cut = _cut(binned, HALF)
-        near = _spread(binned, cut).filter(F.col("bin") <= F.col("cut"))
-        factor = _cholesky(near.groupBy("group").agg(*_moments(F.lit(True)))).select("group", "m", "log_det", *_factor_columns())
-        factor = stage(factor, "mcd-factor")
-        binned = _spread(vectors, factor).select("group", *DIMENSIONS, _bin(_distance()).alias("bin"))
-    middle = _cut(binned, 0.5).select("group", "rows", (F.greatest(F.pow(F.lit(2.0), (F.col("cut") + 1) / BINS) / MEDIAN, F.lit(1.0))).alias("scale"))
+    binned = stage(first.select(several, *DIMENSIONS, _bin(spread).alias("bin")), "mcd-start")
+    factor, _ = _concentrate(binned.drop("bin"), binned, FIRST_STEPS)
+    place = {str(s): i for i, s in enumerate(STARTS)}
+    start = F.element_at(F.split("group", "\x01"), -1)
+    order = F.struct("log_det", reduce(lambda c, s: c.when(start == s, place[s]), place, F).alias("place"))
+    whole = F.regexp_replace("group", "\x01[^\x01]*$", "").alias("group")
+    best = factor.select(whole, order.alias("order"), F.struct(*_factor_columns()).alias("e")).groupBy("group").agg(F.min_by("e", "order").alias("e"))
+    best = stage(best.select("group", "e.*"), "mcd-best")
+    binned = _spread(vectors, best).select("group", *DIMENSIONS, _bin(_distance()).alias("bin"))
+    factor, binned = _concentrate(vectors, binned, STEPS)
+    middle = _cut(binned, lambda n: F.ceil(n * 0.5)).select("group", "rows", (F.greatest(F.pow(F.lit(2.0), (F.col("cut") + 1) / BINS) / MEDIAN, F.lit(1.0))).alias("scale"))
     return factor.join(middle, "group")
 
 
