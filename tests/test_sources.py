@@ -2,13 +2,14 @@
 
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tillwise import staging
 from tillwise.sources import tables as t
-from tillwise.streaming.weekly import EVENT_SCHEMA, run_weekly_totals, weekly_totals
+from tillwise.streaming.weekly import EVENT_SCHEMA, current_rows, merge_batch, resume_weekly_totals, weekly_totals
 
 
 def test_csv_with_header_and_schema(spark, tmp_path):
@@ -80,19 +81,72 @@ def test_models_round_trip(spark, tmp_path):
     assert t.load_params(spark, str(tmp_path / "m" / "metadata"), {}) == {"features": ["id"], "models": ["groups"]}
 
 
-def test_stream_equals_batch_whatever_the_split(spark, sf_dir, tmp_path):
+def totals_of(events):
+    return sorted(map(tuple, weekly_totals(events, "ts", "event_type", "value").collect()))
+
+
+def read_files(checkpoint):
+    """Names of the files that the stream has taken in, by batch."""
+    out = {}
+    for p in Path(checkpoint, "sources", "0").glob("[0-9]*"):
+        out |= {(json.loads(x)["batchId"], json.loads(x)["path"]): 1 for x in p.read_text().split("\n")[1:] if x}
+    return [path for _, path in out]
+
+
+def test_stream_goes_on_over_a_growing_folder(spark, sf_dir, tmp_path):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    want = sorted(map(tuple, weekly_totals(events, "ts", "event_type", "value").collect()))
-    folder = str(tmp_path / "in")
-    events.repartition(6).write.parquet(folder)
-    got = run_weekly_totals(spark, folder, files_per_batch=2)
+    folder, place = str(tmp_path / "in"), (str(tmp_path / "table"), str(tmp_path / "state"))
+    first, rest = events.where("event_id % 3 = 0"), events.where("event_id % 3 <> 0")
+    first.repartition(3).write.parquet(folder)
+    got = resume_weekly_totals(spark, folder, *place, files_per_batch=2, snapshot_every=3)
     assert got.columns == ["week", "event_type", "n", "total"]
-    assert sorted(map(tuple, got.collect())) == want and len(want) > 5
+    assert sorted(map(tuple, got.collect())) == totals_of(first)
+    assert len(read_files(place[1])) == 3
+
+    rest.repartition(9).write.mode("append").parquet(folder)
+    for _ in range(2):  # the second call finds nothing new
+        got = resume_weekly_totals(spark, folder, *place, files_per_batch=2, snapshot_every=3)
+        assert sorted(map(tuple, got.collect())) == totals_of(events)
+    taken = read_files(place[1])
+    assert len(taken) == len(set(taken)) == 12
+    batches = {int(p.name.split("=")[1]) for p in Path(place[0]).glob("batch=*")}
+    assert 5 in batches and not {0, 1} & batches  # removed behind the second full copy
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    table, keys = str(tmp_path / "t"), ["k"]
+    make = lambda *rows: spark.createDataFrame(rows, "k string, n int")
+    batches = [make(("a", 1), ("b", 1)), make(("a", 3)), make(("c", 1), ("a", 4)), make(("b", 9))]
+    want = [{"a": 1, "b": 1}, {"a": 3, "b": 1}, {"a": 4, "b": 1, "c": 1}, {"a": 4, "b": 9, "c": 1}]
+    for number, (batch, rows) in enumerate(zip(batches, want)):
+        for _ in range(2):
+            merge_batch(batch, number, table, keys, snapshot_every=2)
+            assert {r.k: r.n for r in current_rows(spark, table, batch.schema, keys).collect()} == rows
+    # After a failure an older batch may run again before the later ones do.
+    merge_batch(batches[3], 3, table, keys, snapshot_every=2)
+    assert {r.k: r.n for r in current_rows(spark, table, batches[0].schema, keys).collect()} == want[3]
+
+
+def test_late_weeks_are_given_up(spark, tmp_path):
+    folder, place = str(tmp_path / "in"), (str(tmp_path / "table"), str(tmp_path / "state"))
+
+    def put(day, value):
+        row = spark.sql(f"SELECT 1L AS event_id, TIMESTAMP_NTZ'{day} 12:00:00' AS ts, 1L AS user_id, 'a' AS event_type, {value}D AS value, '' AS props")
+        row.write.mode("append").parquet(folder)
+        return {str(r.week): r.total for r in resume_weekly_totals(spark, folder, *place, late="14 days").collect()}
+
+    assert put("2024-01-01", 1) == {"2024-01-01": 1.0}
+    assert put("2024-01-09", 2) == {"2024-01-01": 1.0, "2024-01-08": 2.0}
+    assert put("2024-01-03", 4)["2024-01-01"] == 5.0  # late, but the week is open
+    assert put("2024-03-05", 8)["2024-03-04"] == 8.0
+    closed = put("2024-01-04", 16)  # given up: kept in the table as it was, gone from the state
+    assert closed["2024-01-01"] == 5.0 and len(closed) == 3
 
 
 def test_stream_without_files(spark, tmp_path):
     spark.createDataFrame([], EVENT_SCHEMA).write.parquet(str(tmp_path / "none"))
-    assert run_weekly_totals(spark, str(tmp_path / "none"), "nothing*").count() == 0
+    got = resume_weekly_totals(spark, str(tmp_path / "none"), str(tmp_path / "t"), str(tmp_path / "s"), "nothing*")
+    assert got.count() == 0 and got.columns == ["week", "event_type", "n", "total"]
 
 
 def test_staging_goes_on_from_the_written_table(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import date
 from functools import cached_property
@@ -26,8 +27,8 @@ from tillwise.operators.sampling import bounded_sample
 from tillwise.plans import reports as rep
 from tillwise.sources import star
 from tillwise.sources.tables import coerce, conform, drop_repeated_headers, rejected_rows, stack_vintages
-from tillwise.staging import stage
-from tillwise.streaming.weekly import run_weekly_totals
+from tillwise.staging import scratch_dir, stage
+from tillwise.streaming.weekly import resume_weekly_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -605,4 +606,6 @@ def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_weekly_totals(spark, sf_dir, "events.parquet")
+    """Further calls in a session go on from where the last one ended."""
+    place = f"{scratch_dir(spark)}/weekly-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    return resume_weekly_totals(spark, sf_dir, f"{place}/totals", f"{place}/checkpoint", "events.parquet")

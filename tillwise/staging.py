@@ -30,13 +30,22 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the scratch folder, deleted when the driver ends."""
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, target = _place(spark, path)
     files.deleteOnExit(target)
     return path
 
 
+def _place(spark: SparkSession, path: str) -> tuple:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there, in whatever store it is."""
+    files, target = _place(spark, path)
+    files.delete(target, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and go on from the written table.
 
