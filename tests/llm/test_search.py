@@ -68,8 +68,7 @@ def test_ranking(frame, items, monkeypatch):
     assert Counter(i for i, *_ in want)[2] == 50
     found = ns.rank(frame(rows), items)
     assert sorted(((r.item_id, r["rank"], r.doc_id, r.score) for r in found.collect()), key=str) == want
-    # Small segments, short blocks of reads and blocks of queries change nothing.
-    monkeypatch.setattr(ns, "BLOCK", 1)
+    # Small segments and blocks of queries change nothing.
     monkeypatch.setattr(ns, "query_blocks", lambda x: pi.query_blocks(x, 300))
     monkeypatch.setattr(ns, "build", lambda d, only=None: pi.build(d, only, 2000))
     assert len(list(pi.query_blocks(items, 300))) > 3
@@ -78,8 +77,8 @@ def test_ranking(frame, items, monkeypatch):
     assert ns.rank(frame([]), items).count() == 0 and ns.rank(frame(rows), items.limit(0)).count() == 0
 
 
-def test_reads_stop_early():
-    """Below the bar nothing is read to the end, and what is returned has its whole score."""
+def test_reads_resolve_the_best():
+    """All documents as good as the last place are returned, with their whole scores."""
     draw = np.random.default_rng(3)
     sizes = draw.integers(20, 400, 3000)
     segment = pi.Segment(list(range(3000)), sizes, np.cumsum(sizes + 1) - sizes, {})
@@ -92,10 +91,10 @@ def test_reads_stop_early():
         docs, impact = lists.of(t)
         assert (np.diff(impact) <= 0).all()
         score[docs] += w * impact
-    for bar in (1, int(np.sort(score)[-10]), int(score.max()) + 1):
-        docs, exact = ns.read(lists, terms, bar, 50)
-        floor = max(bar, int(np.sort(score)[-50]))
-        assert (exact == score[docs]).all() and set(np.flatnonzero(score >= floor)) <= set(docs.tolist())
+    for best, block in ((1, 8), (50, 64), (50, 1), (2999, 64), (5000, 64)):
+        docs, exact = ns.read(lists, terms, best, block)
+        floor = max(1, int(np.sort(score)[-best])) if best < 3000 else 1
+        assert (exact == score[docs]).all() and set(np.flatnonzero(score >= floor)) == set(docs.tolist())
 
 
 def contaminated(rows, tests, size, slop=0):

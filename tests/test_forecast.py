@@ -69,11 +69,10 @@ def loop(frame, weekly, snap, rolling):
 
 
 @pytest.mark.parametrize("rolling", ["seed_deque", "true_history"])
-@pytest.mark.parametrize("cut", [2, 3])
-def test_recursion(inputs, rolling, cut):
+def test_recursion(inputs, rolling):
     features, days, weekly = inputs
-    scorer = fc.linear_scorer(WEIGHTS, LOW, HIGH)
-    got = fc.forecast(features, days, weekly, scorer, rolling=rolling, cut_every=cut).toPandas()
+    scorer = fc.LinearScorer(WEIGHTS, LOW, HIGH)
+    got = fc.forecast(features, days, weekly, scorer, rolling=rolling).toPandas()
     got = got.sort_values(["product_id", "store_id", "forecast_week"]).reset_index(drop=True)
     want = loop(features.toPandas(), weekly.toPandas(), cal.average_snap(days).first().asDict(), rolling)
     assert len(got) == 4 * 12
@@ -85,14 +84,14 @@ def test_recursion(inputs, rolling, cut):
 
 def test_fallback_interval(inputs):
     features, days, weekly = inputs
-    got = fc.forecast(features, days, weekly, fc.linear_scorer(WEIGHTS, LOW, HIGH), horizon=2, fallback_error=3.0).toPandas()
+    got = fc.forecast(features, days, weekly, fc.LinearScorer(WEIGHTS, LOW, HIGH), horizon=2, fallback_error=3.0).toPandas()
     assert len(got) == 8
     assert np.allclose(got.forecast_upper - got.forecast_qty, 3, atol=0.051)
 
 
 def test_unknown_mode(inputs):
     with pytest.raises(ValueError, match="rolling"):
-        fc.forecast(*inputs, fc.linear_scorer(WEIGHTS, LOW, HIGH), rolling="x")
+        fc.forecast(*inputs, fc.LinearScorer(WEIGHTS, LOW, HIGH), rolling="x")
 
 
 def test_short_series_are_dropped(spark, inputs):

@@ -110,5 +110,4 @@ class BoostConfig:
     row_fraction: float = 0.8
     column_fraction: float = 0.8
     min_rows: int = 20
-    early_stop: float = 0.001
     seed: int = 42

@@ -3,10 +3,10 @@
 Documents lie in the segments of a positional index. In a segment each query reads the lists of
 its terms in descending order of impact, a block of each list at a time. A document's lower
 bound is the sum of what was read of it; its upper bound adds, for each list it was not met in,
-the impact that list would yield next. Documents whose upper bound is below the bar (the
-50th best lower bound, here or anywhere) are out; reading goes on until the two bounds of all
-others meet, so membership, ties and scores are exact. The bar of each query is found first, from the
-lists of its heaviest terms in all segments, so most segments stop after a few reads.
+the impact that list would yield next. Documents whose upper bound is below the bar (the 50th best
+lower bound) are out; reading goes on until the two bounds of all others meet, so membership,
+ties and scores are exact. A segment reports its best documents only, a small share of its
+text's size whatever the number of segments, and the best of these are the best of all.
 """
 
 from __future__ import annotations
@@ -23,9 +23,6 @@ from tillwise.llm.positional_index import Segment, asked, build, loaded, query_b
 BEST = 50
 #: Entries of each list in the first block of reads; each further block doubles the depth.
 BLOCK = 64
-#: Terms of a query that are read for its bar, and lower bounds that a segment reports for it. Both
-#: decide how high the bar is, never which documents are found.
-HEAVY, REPORTED = 8, 8
 
 FOUND = "query int, doc_id long, score long"
 Query = tuple[str, list[bytes]]
@@ -56,14 +53,14 @@ class Lists:
         return self.sorted[term]
 
 
-def read(lists: Lists, terms: list[tuple[bytes, int]], bar: int, best: int = BEST, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """Documents of a segment with their exact scores: all that may be among the ``best``.
+def read(lists: Lists, terms: list[tuple[bytes, int]], best: int = BEST, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of a segment with their exact scores: all that score as high as the ``best``-th.
 
-    ``terms`` carry their weights. A document below ``bar``, or below ``best`` others here, is left out.
+    ``terms`` carry their weights. Documents of score 0 are left out.
     """
     there = [(found[0], found[1] * w) for t, w in terms if w > 0 and (found := lists.of(t)) is not None]
     lower, depth = np.zeros(lists.documents, dtype=np.int64), np.zeros(len(there), dtype=np.int64)
-    bar, upto = max(bar, 1), block
+    bar, upto = 1, block
     while True:
         heads = [int(gain[at]) if at < len(gain) else 0 for (_, gain), at in zip(there, depth, strict=True)]
         most = sum(heads)  # what a document not met so far can still reach
@@ -91,34 +88,18 @@ def search(index: DataFrame, queries: list[Query], best: int = BEST) -> DataFram
     weights = {bytes(t): weight(documents, df) for t, df in frequency}
     weighed = [sorted(((t, weights[t]) for t in set(own) if t in weights), key=lambda x: (-x[1], x[0])) for _, own in queries]
 
-    def first_reads(rows: pa.Table) -> pa.Table:
-        """The best lower bounds of a segment from its lists of heavy terms."""
-        lists = Lists(loaded(rows), documents, length)
-        out: list[tuple[int, int]] = []
-        for q, own in enumerate(opening.value):
-            low = np.sort(read(lists, own, 1, REPORTED)[1])[-REPORTED:]
-            out += [(q, v) for v in low.tolist()]
-        return pa.table({"query": pa.array([q for q, _ in out], pa.int32()), "score": pa.array([v for _, v in out], pa.int64())})
-
-    def further_reads(rows: pa.Table) -> pa.Table:
+    def best_here(rows: pa.Table) -> pa.Table:
         lists = Lists(loaded(rows), documents, length)
         ids, out = lists.segment.ids, []
-        for q, (own, bar) in enumerate(zip(*closing.value, strict=True)):
-            docs, scores = read(lists, own, bar, best)
+        for q, own in enumerate(shared.value):
+            docs, scores = read(lists, own, best)
             local = sorted((-s, ids[d] is None, ids[d] or 0, d) for d, s in zip(docs.tolist(), scores.tolist(), strict=True))
             out += [(q, ids[d], -s) for s, _, _, d in local[:best]]
         kinds = (pa.int32(), pa.int64(), pa.int64())
         return pa.table({n: pa.array(c, k) for n, c, k in zip(("query", "doc_id", "score"), list(zip(*out, strict=True)) or [()] * 3, kinds, strict=True)})
 
-    opening = spark.sparkContext.broadcast([own[:HEAVY] for own in weighed])
-    heavy = {t for own in weighed for t, _ in own[:HEAVY]}
-    seen = asked(index, heavy).groupBy("segment").applyInArrow(first_reads, "query int, score long")
-    top = seen.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))).filter(F.col("place") <= best)
-    bars = [1] * len(queries)
-    for r in top.groupBy("query").agg(F.min("score").alias("bar"), F.count("*").alias("n")).filter(F.col("n") >= best).collect():
-        bars[r["query"]] = r["bar"]
-    closing = spark.sparkContext.broadcast((weighed, bars))
-    found = asked(index, set(weights)).groupBy("segment").applyInArrow(further_reads, FOUND)
+    shared = spark.sparkContext.broadcast(weighed)
+    found = asked(index, set(weights)).groupBy("segment").applyInArrow(best_here, FOUND)
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
 

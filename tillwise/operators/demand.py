@@ -4,19 +4,18 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.config import FEATURES, BoostConfig
-from tillwise.operators.boosting import QuantileBoost, fit_quantile, load_quantile, save_quantile
-from tillwise.operators.forecast import Scorer
-from tillwise.operators.sampling import bounded_sample
+from tillwise.operators.boosting import QuantileBoost, bin_rows, fit_quantile, load_quantile, save_quantile
+from tillwise.operators.forecast import ArrayScorer
+from tillwise.operators.parallel import fit_all
 from tillwise.sources.tables import load_params, save_models
 
 
@@ -26,75 +25,75 @@ def feature_array(features: Sequence[str] = FEATURES) -> Column:
 
 
 def training_rows(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Assembled training and validation rows of a split table, and nothing else."""
+    """Inputs of the training and validation rows of a split table, and nothing else."""
     return df.where(F.col("split").isin("Train", "Validation")).select(
-        array_to_vector(feature_array(features)).alias("features"),
+        feature_array(features).alias("features"),
         F.col(label).cast("double").alias("label"),
         (F.col("split") == "Validation").alias("held_out"),
-    )
+    ).where("label is not null")
 
 
 def fit_point(
-    df: DataFrame, features: Sequence[str] = FEATURES, label: str = "quantity", config: BoostConfig = BoostConfig()
-) -> GBTRegressionModel:
-    """Boosted trees under absolute loss; Validation rows stop the boosting early."""
-    rows = training_rows(df, features, label).persist()
-    try:
-        return GBTRegressor(
-            lossType="absolute", maxIter=config.rounds, maxDepth=config.depth, stepSize=config.step,
-            subsamplingRate=config.row_fraction, featureSubsetStrategy=str(config.column_fraction),
-            minInstancesPerNode=config.min_rows, validationIndicatorCol="held_out",
-            validationTol=config.early_stop, seed=config.seed, predictionCol="pred",
-        ).fit(rows)
-    finally:
-        rows.unpersist()
+    df: DataFrame, features: Sequence[str] = FEATURES, label: str = "quantity", config: BoostConfig = BoostConfig(), patience: int = 50
+) -> QuantileBoost:
+    """Boosted trees under absolute loss; Validation rows end the boosting by patience."""
+    return fit_quantile(training_rows(df, features, label), 0.5, config, patience)
 
 
 @dataclass
 class DemandModels:
     """A point model with the two quantile models of its 80 % interval."""
 
-    point: GBTRegressionModel
+    point: QuantileBoost
     low: QuantileBoost
     high: QuantileBoost
     features: Sequence[str] = FEATURES
 
     def score(self, df: DataFrame) -> DataFrame:
-        """Add raw ``pred``, ``pred_lo`` and ``pred_hi``; the scorer of the forecast."""
-        rows = df.withColumn("_x", feature_array(self.features)).withColumn("features", array_to_vector("_x"))
-        return self.point.transform(rows).withColumns(
-            {"pred_lo": self.low.predict("_x"), "pred_hi": self.high.predict("_x")}
-        ).drop("_x", "features")
+        """Add raw ``pred``, ``pred_lo`` and ``pred_hi``."""
+        return df.withColumn("_x", feature_array(self.features)).withColumns(
+            {"pred": self.point.predict("_x"), "pred_lo": self.low.predict("_x"), "pred_hi": self.high.predict("_x")}
+        ).drop("_x")
+
+    def arrays(self) -> ArrayScorer:
+        """The scorer of the forecast: matrices in the order of ``FEATURES``, null as NaN."""
+        models = [replace(m, losses=[]) for m in (self.point, self.low, self.high)]
+        place = [FEATURES.index(f) for f in self.features]
+        return lambda x: tuple(m.score(np.nan_to_num(x[:, place], nan=0.0)) for m in models)
 
 
 def save_demand_models(spark: SparkSession, path: str, models: DemandModels) -> None:
     """Keep the three models and their feature list under one path."""
-    save_models(spark, path, {"point": models.point}, {"model_type": "boosted trees", "features": list(models.features)})
-    save_quantile(spark, f"{path}/low", models.low)
-    save_quantile(spark, f"{path}/high", models.high)
+    save_models(spark, path, {}, {"model_type": "boosted trees", "features": list(models.features)})
+    for name in ("point", "low", "high"):
+        save_quantile(spark, f"{path}/{name}", getattr(models, name))
 
 
 def load_demand_models(spark: SparkSession, path: str) -> DemandModels:
-    point = GBTRegressionModel.load(f"{path}/point")
     features = load_params(spark, f"{path}/metadata", {})["features"]
-    return DemandModels(point, load_quantile(spark, f"{path}/low"), load_quantile(spark, f"{path}/high"), features)
+    return DemandModels(*(load_quantile(spark, f"{path}/{name}") for name in ("point", "low", "high")), features)
 
 
 def fit_models(
     df: DataFrame, features: Sequence[str] = FEATURES, label: str = "quantity",
     config: BoostConfig = BoostConfig(), extra_rounds: int = 100, patience: int = 50,
 ) -> DemandModels:
-    """Point model, then both bounds with the point model's rounds and some more."""
-    point = fit_point(df, features, label, config)
-    bounds = replace(config, rounds=point.getNumTrees + extra_rounds)
-    low, high = (fit_quantile(training_rows(df, features, label), a, bounds, patience) for a in (0.1, 0.9))
+    """Point model, then both bounds side by side with the point model's best rounds and some more.
+
+    All three share one binning of the rows.
+    """
+    rows = bin_rows(training_rows(df, features, label))
+    point = fit_quantile(rows, 0.5, config, patience)
+    bounds = replace(config, rounds=len(point.trees) + extra_rounds)
+    fits = [lambda a=a: fit_quantile(rows, a, bounds, patience) for a in (0.1, 0.9)]
+    low, high = fit_all(df.sparkSession, fits)
+    rows.blocks.unpersist()
     return DemandModels(point, low, high, features)
 
 
-def point_scorer(model: GBTRegressionModel, features: Sequence[str] = FEATURES) -> Scorer:
+def point_scorer(model: QuantileBoost, features: Sequence[str] = FEATURES) -> Callable[[DataFrame], DataFrame]:
     def score(df: DataFrame) -> DataFrame:
-        rows = df.withColumn("features", array_to_vector(feature_array(features)))
-        return model.transform(rows).drop("features")
+        return df.withColumn("_x", feature_array(features)).withColumn("pred", model.predict("_x")).drop("_x")
 
     return score
 
@@ -133,7 +132,7 @@ def random_search(
         model = fit_point(df, features, label, config)
         error = mean_error(point_scorer(model, features)(held_out), label)
         rows.append((number, config.depth, config.step, config.column_fraction, config.row_fraction,
-                     config.min_rows, model.getNumTrees, error))
+                     config.min_rows, len(model.trees), error))
     names = ("depth", "step", "column_fraction", "row_fraction", "min_rows")
     best = min(rows, key=lambda r: r[-1])
     table = df.sparkSession.createDataFrame(
@@ -143,45 +142,44 @@ def random_search(
     return table, dict(zip(names, best[1:6]))
 
 
-def gain_importance(model: GBTRegressionModel, df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """The trees' own gain per feature."""
-    gains = model.featureImportances.toArray()
-    return df.sparkSession.createDataFrame(
-        [(f, float(g)) for f, g in zip(features, gains)], "feature string, importance double"
-    )
+def gain_importance(model: QuantileBoost, df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """The trees' own gain per feature, as shares."""
+    gains = model.gains(len(features)).tolist()
+    return df.sparkSession.createDataFrame(list(zip(features, gains, strict=True)), "feature string, importance double")
 
 
 def permutation_importance(
-    model: GBTRegressionModel, df: DataFrame, keys: Sequence[str], features: Sequence[str] = FEATURES,
-    label: str = "quantity", n: int = 5000, seed: int = 42,
+    model: QuantileBoost, df: DataFrame, keys: Sequence[str], features: Sequence[str] = FEATURES,
+    label: str = "quantity", seed: int = 42,
 ) -> DataFrame:
-    """Rise of the MAE when one feature is taken from another row, on at most ``n`` rows.
+    """Rise of the MAE when one feature is taken from another row, over all rows.
 
-    All features are scored in one job: each sample row meets, per feature, one partner a
-    feature-specific distance further in the sample, found by an equi-join on the place.
+    Rows are dealt at random by a hash of their keys; within each Arrow batch one feature after the other is
+    permuted and scored. Only sums of errors leave the tasks.
     """
-    sample = bounded_sample(df, keys, n, seed).select(
-        feature_array(features).alias("x"), F.col(label).cast("double").alias("label"),
-        (F.row_number().over(W.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys)) - 1).alias("place"),  # n rows
-    ).persist()
-    try:
-        size = sample.count()
-        if size < 2:
-            raise ValueError("permutation importance needs two rows")
-        shifts = [1 + (i * 7919 + seed) % (size - 1) for i in range(len(features))]
-        each = sample.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1)))).withColumn(
-            "partner", (F.col("place") + F.get(F.array(*[F.lit(s) for s in shifts]), F.col("f"))) % size
-        )
-        other = sample.select(F.col("place").alias("partner"), F.col("x").alias("y"))
-        swapped = each.join(F.broadcast(other), "partner").withColumn(
-            "x", F.transform("x", lambda v, i: F.when(i == F.col("f"), F.get("y", i)).otherwise(v))
-        )
-        clipped = F.greatest(F.col("pred"), F.lit(0.0))
-        error = F.avg(F.abs(F.col("label") - clipped))
-        vector = array_to_vector("x").alias("features")
-        before = model.transform(sample.select("label", vector)).agg(error).first()[0]
-        after = model.transform(swapped.select("f", "label", vector)).groupBy("f").agg(error.alias("mae"))
-        rows = [(features[r["f"]], r["mae"] - before) for r in after.collect()]  # a row per feature
-        return df.sparkSession.createDataFrame(rows, "feature string, importance double")
-    finally:
-        sample.unpersist()
+    n = len(features)
+
+    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(rows, n).copy()
+            y = batch.column(1).to_numpy(zero_copy_only=False)
+            order = np.random.default_rng([seed, rows]).permutation(rows)
+            out = [np.abs(y - np.maximum(model.score(x), 0)).sum()]
+            for i in range(n):
+                own = x[:, i].copy()
+                x[:, i] = own[order]
+                out.append(np.abs(y - np.maximum(model.score(x), 0)).sum())
+                x[:, i] = own
+            columns = [pa.array(range(-1, n), pa.int32()), pa.array(out), pa.array([rows] * (n + 1), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["f", "error", "rows"])
+
+    chance = F.xxhash64(*keys, F.lit(seed))
+    dealt = df.where(F.col(label).isNotNull()).select(feature_array(features).alias("x"), F.col(label).cast("double").alias("y"), chance.alias("_chance"), *keys)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(parts, "_chance").sortWithinPartitions("_chance", *keys).select("x", "y")
+    sums = dealt.mapInArrow(errors, "f int, error double, rows long").groupBy("f").agg((F.sum("error") / F.sum("rows")).alias("mae")).collect()
+    mae = {r["f"]: r["mae"] for r in sums}  # a row per feature
+    if not mae:
+        raise ValueError("permutation importance needs rows")
+    return df.sparkSession.createDataFrame([(f, mae[i] - mae[-1]) for i, f in enumerate(features)], "feature string, importance double")

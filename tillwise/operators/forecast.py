@@ -1,22 +1,27 @@
 """Recursive weekly forecast, all series advancing together.
 
 A step needs only the series' own row: the seed features, its last 52 quantities and the
-predictions so far. So the whole recursion is a chain of projections over one row per
-series, without a shuffle between the steps.
+predictions so far. So one pass over one row per series makes all steps: a small state machine
+holds the series of an Arrow batch as arrays and moves them on week by week, without a shuffle, a
+growing plan or a table in between.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.config import EVENT_FLAGS, FEATURES, LAGS, ROLLING
+from tillwise.functions.columns import is_month_end
 from tillwise.operators.calendar import average_snap
 from tillwise.operators.joins import dim_join
-from tillwise.operators.metrics import bound_predictions
 from tillwise.operators.panel import SERIES
 from tillwise.staging import stage
 
@@ -24,28 +29,44 @@ HORIZON = 12
 HISTORY = 52
 SEED_LAGS = (1, 2, 3, 4, 8, 12)
 DEPTH = 12
-_OUT = (
-    "array<struct<forecast_week: date, forecast_qty: double, forecast_lower: double, "
-    "forecast_upper: double, has_event_flag: int, has_major_holiday_flag: int, snap_days: double>>"
-)
+#: Features of a coming week that only its calendar decides.
+DATED = ("week_of_year", "month", "quarter", "year", "is_q4", "is_january", "is_month_end")
+#: The calendar of the steps ahead, one array each.
+AHEAD = (*EVENT_FLAGS, "days_since_last_event", *DATED)
 
-Scorer = Callable[[DataFrame], DataFrame]
+#: Raw prediction and interval for a matrix of inputs in the order of ``FEATURES``, null as NaN.
+ArrayScorer = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def linear_scorer(weights: Mapping[str, float], low: Mapping[str, float], high: Mapping[str, float]) -> Scorer:
-    """A scorer with fixed weights: raw ``pred``, ``pred_lo`` and ``pred_hi`` columns.
+@dataclass(frozen=True)
+class LinearScorer:
+    """Fixed weights; ``low`` and ``high`` may weigh the prediction itself under the name ``pred``."""
 
-    ``low`` and ``high`` may weigh the prediction itself under the name ``pred``.
-    """
+    weights: Mapping[str, float]
+    low: Mapping[str, float]
+    high: Mapping[str, float]
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """Add raw ``pred``, ``pred_lo`` and ``pred_hi``."""
+        terms = lambda w: " + ".join(f"{v}D * {c}" for c, v in w.items())
+        first = df.selectExpr("*", f"{terms(self.weights)} AS pred")
+        return first.selectExpr("*", f"{terms(self.low)} AS pred_lo", f"{terms(self.high)} AS pred_hi")
+
+    def arrays(self) -> ArrayScorer:
+        weights, low, high, place = self.weights, self.low, self.high, {c: i for i, c in enumerate(FEATURES)}
 
-    def total(terms: Mapping[str, float]) -> str:
-        return " + ".join(f"{w}D * {c}" for c, w in terms.items())
+        def score(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            def total(terms: Mapping[str, float], pred: np.ndarray | None = None) -> np.ndarray:
+                parts = [w * (pred if c == "pred" else x[:, place[c]]) for c, w in terms.items()]
+                out = parts[0]
+                for part in parts[1:]:
+                    out = out + part
+                return out
 
-    def score(df: DataFrame) -> DataFrame:
-        first = df.selectExpr("*", f"{total(weights)} AS pred")
-        return first.selectExpr("*", f"{total(low)} AS pred_lo", f"{total(high)} AS pred_hi")
+            pred = total(weights)
+            return pred, total(low, pred), total(high, pred)
 
-    return score
+        return score
 
 
 def seeds(features: DataFrame) -> DataFrame:
@@ -67,17 +88,14 @@ def seeds(features: DataFrame) -> DataFrame:
 
 
 def future_calendar(last_weeks: DataFrame, weekly: DataFrame, snap: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """last_week -> the calendar of the weeks ahead, as an array of one struct per step.
+    """last_week -> the calendar of the weeks ahead, one array per feature and state.
 
     Beyond the calendar there are no events, benefit days take the state mean, and the
     days since the last event stay at the last known value (null: that of the seed).
     """
     flags, states = list(EVENT_FLAGS), [c for c in snap.columns if c.startswith("snap_days_")]
     defaults = snap.first()  # one row
-    known = weekly.select(
-        F.col("week").alias("forecast_week"), *flags, "days_since_last_event", *states,
-        F.lit(True).alias("_known"),
-    )
+    known = weekly.select(F.col("week").alias("forecast_week"), *flags, "days_since_last_event", *states)
     ahead = (
         last_weeks.select("last_week").distinct()
         .select("last_week", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
@@ -85,113 +103,148 @@ def future_calendar(last_weeks: DataFrame, weekly: DataFrame, snap: DataFrame, h
         .join(F.broadcast(known), "forecast_week", "left")  # a row per calendar week
     )
     so_far = W.partitionBy("last_week").orderBy("step").rowsBetween(W.unboundedPreceding, 0)
+    week = F.col("forecast_week")
     filled = ahead.withColumns({
         **{c: F.coalesce(c, F.lit(0)) for c in flags},
-        **{c: F.coalesce(F.col(c).cast("double"), F.lit(float(defaults[c]))) for c in states},
+        **{c: F.coalesce(F.col(c).cast("double"), F.lit(defaults[c]).cast("double")) for c in states},
         "days_since_last_event": F.last("days_since_last_event", ignorenulls=True).over(so_far),
+        "week_of_year": F.weekofyear(week), "month": F.month(week), "quarter": F.quarter(week), "year": F.year(week),
+        "is_q4": F.month(week) >= 10, "is_january": F.month(week) == 1, "is_month_end": is_month_end(week),
     })
-    step = F.struct("step", "forecast_week", *flags, "days_since_last_event", *states)
-    return filled.groupBy("last_week").agg(F.sort_array(F.collect_list(step)).alias("_ahead"))
-
-
-# Mean and deviation of the first 4, 8 and 12 values of an array, in one pass each.
-_STATS = """
-transform(array({sizes}), n -> aggregate(
-  slice({values}, 1, n),
-  named_struct('n', 0D, 'mean', 0D, 'squares', 0D),
-  (a, x) -> named_struct(
-    'n', a.n + 1, 'mean', a.mean + (x - a.mean) / (a.n + 1),
-    'squares', a.squares + (x - a.mean) * (x - a.mean - (x - a.mean) / (a.n + 1))),
-  a -> named_struct('mean', a.mean, 'std', sqrt(a.squares / (a.n - {lost})))))
-"""
+    columns = ["forecast_week", *AHEAD, *states]
+    steps = filled.groupBy("last_week").agg(F.sort_array(F.collect_list(F.struct("step", *columns))).alias("_steps"))
+    number = lambda c: F.col(f"_steps.{c}").cast("array<double>")
+    return steps.select(
+        "last_week", F.col("_steps.forecast_week").alias("_weeks"),
+        *[number(c).alias(f"_ahead_{c}") for c in AHEAD], *[number(c).alias(f"_{c}") for c in states],
+    )
 
 
-def _step_features(step: int) -> list[str]:
-    """The features of one step that differ from the seed's, as SQL over the state."""
-    now, snap = f"_ahead[{step - 1}]", "_ahead[%d].snap_days_%s"
-    week = f"{now}.forecast_week"
-    own_snap = (
-        f"CASE state WHEN 'TX' THEN {snap % (step - 1, 'TX')} "
-        f"WHEN 'WI' THEN {snap % (step - 1, 'WI')} ELSE {snap % (step - 1, 'CA')} END"
-    )
-    out = [
-        *[f"{now}.{c} AS {c}" for c in EVENT_FLAGS],
-        f"coalesce({now}.days_since_last_event, _seed_days_since) AS days_since_last_event",
-        f"{own_snap} AS snap_days", f"cast({own_snap} > 0 AS int) AS snap",
-        f"weekofyear({week}) AS week_of_year", f"month({week}) AS month",
-        f"quarter({week}) AS quarter", f"year({week}) AS year",
-        f"cast(month({week}) >= 10 AS int) AS is_q4", f"cast(month({week}) = 1 AS int) AS is_january",
-        f"cast(month(date_add({week}, 7)) != month({week}) AS int) AS is_month_end",
-        f"_seed_start + {step} AS weeks_since_start",
-        *[f"coalesce(get(_recent, {k - 1}), 0D) AS lag_{k}" for k in LAGS],
-    ]
-    for at, size in enumerate(ROLLING):
-        for stat in ("mean", "std"):
-            name = f"rolling_{stat}_{size}"
-            out.append(f"_seed_{name} AS {name}" if step == 1 else f"_stats[{at}].{stat} AS {name}")
-    ratio = "_seed_ratio" if step == 1 else "1D"
-    return [*out, f"{ratio} AS price_vs_median_ratio"]
+def spread(values: np.ndarray, there: np.ndarray, lost: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of each row's values by the running update, row by row alike."""
+    n, mean, squares = (np.zeros(len(values)) for _ in range(3))
+    for x, ok in zip(values.T, there.T, strict=True):
+        step = x - mean
+        moved = step / (n + 1)
+        squares = np.where(ok, squares + step * (step - moved), squares)
+        mean, n = np.where(ok, mean + moved, mean), n + ok
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(n > 0, mean, np.nan), np.sqrt(squares / np.where(n > lost, n - lost, np.nan))
+
+
+def advance(
+    x: np.ndarray, recent: np.ndarray, known: np.ndarray, ahead: Mapping[str, np.ndarray], scorer: ArrayScorer,
+    horizon: int, rolling: str, fallback_error: float | None,
+) -> np.ndarray:
+    """Move all series on: prediction, lower and upper bound of each step (steps x 3 x series).
+
+    ``x`` has the seed features, ``recent`` the last quantities, newest first, of which ``known``
+    exist, and ``ahead`` the changing features of each step.
+    """
+    x, at = x.copy(), {c: i for i, c in enumerate(FEATURES)}
+    start, seed_days = x[:, at["weeks_since_start"]].copy(), x[:, at["days_since_last_event"]].copy()
+    if rolling == "seed_deque":
+        window = x[:, [at[f"lag_{k}"] for k in SEED_LAGS]]
+        there, lost = np.ones(window.shape, dtype=bool), 0
+    else:
+        window, there, lost = recent[:, :DEPTH], known[:, :DEPTH], 1
+    out = np.empty((horizon, 3, len(x)))
+    for step in range(1, horizon + 1):
+        for c, values in ahead.items():
+            x[:, at[c]] = values[:, step - 1]
+        unseen = np.isnan(x[:, at["days_since_last_event"]])
+        x[unseen, at["days_since_last_event"]] = seed_days[unseen]
+        x[:, at["weeks_since_start"]] = start + step
+        for k in LAGS:
+            x[:, at[f"lag_{k}"]] = np.where(known[:, k - 1], recent[:, k - 1], 0.0)
+        if step > 1:
+            for size in ROLLING:
+                mean, std = spread(window[:, :size], there[:, :size], lost)
+                x[:, at[f"rolling_mean_{size}"]], x[:, at[f"rolling_std_{size}"]] = mean, std
+            x[:, at["price_vs_median_ratio"]] = 1.0
+        raw, low, high = scorer(x)
+        pred = np.fmax(raw, 0.0)
+        if fallback_error is not None:
+            low, high = pred - fallback_error, pred + fallback_error
+        out[step - 1] = pred, np.fmax(low, 0.0), high if fallback_error is not None else np.fmax(pred, high)
+        new, yes = pred[:, None], np.ones((len(x), 1), dtype=bool)
+        recent, known = np.hstack([new, recent])[:, :HISTORY], np.hstack([yes, known])[:, :HISTORY]
+        window, there = np.hstack([new, window])[:, :DEPTH], np.hstack([yes, there])[:, :DEPTH]
+    return out
+
+
+def matrix(column: pa.Array, width: int) -> np.ndarray:
+    """A list column as a matrix, NaN for nulls and beyond the end of a list."""
+    out = np.full((len(column), width), np.nan)
+    for i, values in enumerate(column.to_pylist()):
+        row = np.array(values or [], dtype=float)[:width]  # None becomes NaN
+        out[i, : len(row)] = row
+    return out
 
 
 def forecast(
     features: DataFrame,
     calendar: DataFrame,
     weekly: DataFrame,
-    scorer: Scorer,
+    scorer: object,
     horizon: int = HORIZON,
     rolling: str = "seed_deque",
     fallback_error: float | None = None,
-    cut_every: int = 2,
 ) -> DataFrame:
     """``horizon`` weekly predictions with bounds for every series.
 
-    ``calendar`` is daily (for the benefit-day means), ``weekly`` the weekly calendar.
+    ``calendar`` is daily (for the benefit-day means), ``weekly`` the weekly calendar; ``scorer`` has
+    ``arrays()``, a scorer of matrices that travels to the tasks.
     Lags take earlier predictions where the week is forecast, else the actual, else 0.
     Quantities are rounded for output only; the exact prediction feeds the next step.
+    The upper bound is at least the prediction and the lower at least 0, as in ``bound_predictions``.
     ``rolling`` keeps the window statistics of the seed's lags ("seed_deque": the seed
     week itself never enters) or takes them from the series' real past ("true_history").
-    The state (one row per series) is staged every ``cut_every`` steps: a chain of more
-    projections grows the plan out of proportion.
     """
     if rolling not in ("seed_deque", "true_history"):
         raise ValueError(f"unknown rolling mode {rolling}")
     series = stage(seeds(features), "seeds")
-    ahead = future_calendar(series, weekly, average_snap(calendar), horizon)
-    window = (
-        f"array({', '.join(f'lag_{k}' for k in SEED_LAGS)})"
-        if rolling == "seed_deque" else f"slice(_recent, 1, {DEPTH})"
+    snap = average_snap(calendar)
+    states = [c.removeprefix("snap_days_") for c in snap.columns]
+    ahead = future_calendar(series, weekly, snap, horizon)
+    own = F.coalesce(*[F.when(F.col("state") == s, F.col(f"_snap_days_{s}")) for s in states[:-1]], F.col(f"_snap_days_{states[-1]}"))
+    inputs = F.array(*[F.col(c).cast("double") for c in FEATURES])
+    rows = series.join(F.broadcast(ahead), "last_week", "left").select(  # a row per last week
+        *SERIES, inputs.alias("_x"), F.col("_recent"), "_weeks", own.alias("_ahead_snap_days"), *[f"_ahead_{c}" for c in AHEAD]
     )
-    changing = {c.rsplit(" AS ", 1)[1] for c in _step_features(1)}
-    held = [*SERIES, "state", *[c for c in FEATURES if c not in changing],
-            "_ahead", "_seed_start", "_seed_days_since"]
-    state = series.join(F.broadcast(ahead), "last_week", "left").selectExpr(
-        *held[:-2], "weeks_since_start AS _seed_start", "days_since_last_event AS _seed_days_since",
-        "price_vs_median_ratio AS _seed_ratio",
-        *[f"rolling_{s}_{w} AS _seed_rolling_{s}_{w}" for w in ROLLING for s in ("mean", "std")],
-        "_recent", f"{window} AS _window", f"cast(array() AS {_OUT}) AS _out",
+    keys, fields = len(SERIES), [f.removeprefix("_ahead_") for f in rows.columns if f.startswith("_ahead_")]
+    score = scorer.arrays()
+    schema = T.StructType([*rows.select(*SERIES).schema, *T._parse_datatype_string(
+        "forecast_week date, pred double, pred_lo double, pred_hi double, has_event int, has_major_holiday int, snap_days double"
+    )])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            recent = matrix(batch.column(keys + 1), HISTORY)
+            sizes = np.array([len(v or []) for v in batch.column(keys + 1).to_pylist()])
+            known = np.arange(HISTORY)[None, :] < sizes[:, None]
+            coming = {c: matrix(batch.column(keys + 3 + i), horizon) for i, c in enumerate(fields)}
+            moving = {**coming, "snap": np.where(np.isnan(coming["snap_days"]), np.nan, coming["snap_days"] > 0)}
+            done = advance(matrix(batch.column(keys), len(FEATURES)), recent, known, moving, score, horizon, rolling, fallback_error)
+            weeks = batch.column(keys + 2).to_pylist()
+            row = np.tile(np.arange(n), horizon)
+            numbers = lambda values: pa.array(values.reshape(-1), pa.float64(), from_pandas=True)
+            columns = [
+                *[batch.column(i).take(pa.array(row)) for i in range(keys)],
+                pa.array([weeks[i][s] for s in range(horizon) for i in range(n)], pa.date32()),
+                *[numbers(done[:, k]) for k in range(3)],
+                *[pa.array(coming[c].T.reshape(-1).astype(np.int32)) for c in ("has_event", "has_major_holiday")],
+                numbers(coming["snap_days"].T),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    rounded = {"forecast_qty": "pred", "forecast_lower": "pred_lo", "forecast_upper": "pred_hi"}
+    return rows.mapInArrow(run, schema).select(
+        *SERIES, "forecast_week", *[F.bround(c, 1).alias(name) for name, c in rounded.items()],
+        F.col("has_event").alias("has_event_flag"), F.col("has_major_holiday").alias("has_major_holiday_flag"),
+        F.bround("snap_days", 1).alias("snap_days"),
     )
-    for step in range(1, horizon + 1):
-        carried = [*held, "_recent", "_window", "_out"]
-        scored = bound_predictions(scorer(state.selectExpr(*carried, *_step_features(step))), fallback_error)
-        window = f"slice(concat(array(pred), _window), 1, {DEPTH})"
-        stats = _STATS.format(
-            sizes=", ".join(map(str, ROLLING)), values=window, lost=1 if rolling == "true_history" else 0
-        )
-        now = f"_ahead[{step - 1}]"
-        state = scored.selectExpr(
-            *held,
-            f"slice(concat(array(pred), _recent), 1, {HISTORY}) AS _recent",
-            f"{window} AS _window", f"{stats} AS _stats",
-            f"""concat(_out, array(named_struct(
-                'forecast_week', {now}.forecast_week,
-                'forecast_qty', bround(pred, 1), 'forecast_lower', bround(pred_lo, 1),
-                'forecast_upper', bround(pred_hi, 1), 'has_event_flag', has_event,
-                'has_major_holiday_flag', has_major_holiday,
-                'snap_days', bround(snap_days, 1)))) AS _out""",
-        )
-        if step % cut_every == 0 and step < horizon:
-            state = stage(state, f"forecast-step-{step}")
-    return state.select(*SERIES, F.inline("_out"))
 
 
 def forecast_revenue(forecasts: DataFrame, products: DataFrame) -> DataFrame:

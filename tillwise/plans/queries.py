@@ -111,8 +111,8 @@ class Panel:
         return self.products.join(F.broadcast(stats), "product_id", "left")
 
     @cached_property
-    def scorer(self) -> fc.Scorer:
-        return fc.linear_scorer(WEIGHTS, LOW, HIGH)
+    def scorer(self) -> fc.LinearScorer:
+        return fc.LinearScorer(WEIGHTS, LOW, HIGH)
 
     def forecast(self, rolling: str = "seed_deque") -> DataFrame:
         return fc.forecast(self.features, self.days, self.calendar, self.scorer, rolling=rolling)
@@ -519,7 +519,7 @@ def top_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = Panel(spark, sf_dir)
-    return p.scorer(temporal_split(p.features, config=SPLIT))
+    return p.scorer.score(temporal_split(p.features, config=SPLIT))
 
 
 @query
