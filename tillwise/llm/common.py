@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -83,6 +84,25 @@ def bitmap(keys: DataFrame, *columns: str) -> np.ndarray:
 Batches = Iterator[pa.RecordBatch]
 
 
+def released() -> None:
+    """Give freed memory back, so that a Python worker which waits for its next task holds little."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, and its freed memory given back at the end of the task."""
+
+    def whole(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            released()
+
+    return whole
+
+
 def sliced(batches: Batches, rows: int = 512) -> Batches:
     """Smaller batches, so that few texts are Python objects at a time."""
     for batch in batches:
@@ -109,6 +129,6 @@ def split_by(
     slotted = df.withColumn("__slot", F.pmod(F.xxhash64(*columns), F.lit(BITMAP_BITS)))
     further, schema = rest or (lambda b: b, df.schema)
     return (
-        slotted.mapInArrow(lambda b: test(b, True), df.schema),
-        slotted.mapInArrow(lambda b: further(test(b, False)), schema),
+        slotted.mapInArrow(tidy(lambda b: test(b, True)), df.schema),
+        slotted.mapInArrow(tidy(lambda b: further(test(b, False))), schema),
     )

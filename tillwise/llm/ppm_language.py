@@ -14,10 +14,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import encoded, held_out, steps
+from tillwise.llm.common import encoded, held_out, released, steps, tidy
 
 ORDER = 3
 #: Labelled texts that each language's statistics are taken from, by the hash of their ids.
@@ -25,6 +26,8 @@ TRAIN_ROWS = 2000
 #: Contexts with fewer bytes than this in all languages together are left out of the trees.
 LEAST_COUNT = 24
 UNKNOWN = "und"
+#: Contexts worked out together.
+CONTEXTS = 1024
 #: A text may take so many times the bits per byte that are usual in its language. On the largest table at
 #: hand clean texts take 1.5 times as many at most, capitals and long numbers 3, random letters 6.
 MOST_TIMES = 4.0
@@ -43,6 +46,12 @@ class Model:
     step: np.ndarray
     bits: np.ndarray
 
+    def shared(self, spark: SparkSession) -> Broadcast:
+        """The model as the tasks read it, sent out once."""
+        if "sent" not in self.__dict__:
+            self.__dict__["sent"] = spark.sparkContext.broadcast((self.languages, self.byte_class, self.step, self.bits))
+        return self.__dict__["sent"]
+
 
 def grams(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Counts of (language, three bytes of context and the next byte) over the training rows."""
@@ -65,7 +74,7 @@ def grams(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
 
     texts = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
-    return texts.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidy(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS, least: int = LEAST_COUNT) -> Model:
@@ -97,21 +106,28 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, least: int = LEAST_COUNT) -> Mo
     base[-1] = unseen / 256
     shorter = np.repeat(base[None, :, None], max(len(languages), 1), axis=2)  # order -1: every byte alike
     for order, contexts in enumerate(kept):
-        n = np.zeros((len(contexts), classes, max(len(languages), 1)))
         context = (gram >> 8) & ((1 << 8 * order) - 1)
         at = np.searchsorted(contexts, context)
-        there = (at < len(contexts)) & (contexts[np.minimum(at, len(contexts) - 1)] == context) if len(contexts) else np.zeros(len(gram), bool)
-        np.add.at(n, (at[there], byte_class[gram[there] & 255], lang[there]), counts[there])
+        there = np.flatnonzero((at < len(contexts)) & (contexts[np.minimum(at, len(contexts) - 1)] == context)) if len(contexts) else np.zeros(0, np.int64)
+        there = there[np.argsort(at[there], kind="stable")]
         parent = np.zeros(len(contexts), dtype=np.int64) if order <= 1 else np.searchsorted(kept[order - 1], contexts & ((1 << 8 * (order - 1)) - 1))
-        below = shorter[parent]
-        seen = n > 0
-        kinds = seen.sum(axis=1, keepdims=True)
-        total = n.sum(axis=1, keepdims=True) + kinds
-        rest = np.where(seen, 0, below).sum(axis=1, keepdims=True)
-        escape = np.where(kinds > 0, kinds / np.maximum(total, 1), 1.0)
-        p = np.where(seen, n / np.maximum(total, 1), escape * below / np.maximum(rest, 1e-300))
-        shorter = p
-        bits[first[order] : first[order + 1]] = -np.log2(p)
+        longer = []
+        for lo in range(0, len(contexts), CONTEXTS):  # some contexts at a time bound the driver's memory
+            hi = min(lo + CONTEXTS, len(contexts))
+            own = there[np.searchsorted(at[there], lo) : np.searchsorted(at[there], hi)]
+            n = np.zeros((hi - lo, classes, max(len(languages), 1)))
+            np.add.at(n, (at[own] - lo, byte_class[gram[own] & 255], lang[own]), counts[own])
+            below = shorter[parent[lo:hi]]
+            seen = n > 0
+            kinds = seen.sum(axis=1, keepdims=True)
+            total = n.sum(axis=1, keepdims=True) + kinds
+            rest = np.where(seen, 0, below).sum(axis=1, keepdims=True)
+            escape = np.where(kinds > 0, kinds / np.maximum(total, 1), 1.0)
+            p = np.where(seen, n / np.maximum(total, 1), escape * below / np.maximum(rest, 1e-300))
+            bits[first[order] + lo : first[order] + hi] = -np.log2(p)
+            if order < ORDER:
+                longer.append(p)
+        shorter = np.concatenate(longer) if longer else shorter[:0]
     bits[:, -1, :] += np.log2(unseen)  # one byte of that class
 
     step = np.zeros((states, classes), dtype=np.int32)
@@ -155,10 +171,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     before. A null text, or one without a letter, is ``und`` with score 0, and so is every
     text if nothing was learned. Equal code lengths go to the first language by name.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model.shared(docs.sparkSession)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = shared.value
+        m = Model(*shared.value)
         for batch in batches:
             texts = encoded(batch.column(2))
             letters = pc.fill_null(pc.match_substring_regex(batch.column(2).cast(pa.large_string()), r"\p{L}"), False).to_numpy(zero_copy_only=False)
@@ -177,7 +193,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"])
 
     rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double")
+    return rows.mapInArrow(tidy(score), "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double")
 
 
 def usual_bits(docs: DataFrame, model: Model) -> dict[str, float]:
@@ -198,12 +214,11 @@ def identified(docs: DataFrame, model: Model, least_score: float = 0.5, most: fl
     """
     usual = usual_bits(docs, model)
     limits = np.array([most * usual.get(name, np.inf) for name in model.languages])
-    shared = docs.sparkSession.sparkContext.broadcast((model, limits))
+    shared = model.shared(docs.sparkSession)
 
     @F.arrow_udf("boolean")
     def known(texts: pa.Array) -> pa.Array:
-        m, limit = shared.value
-        out = []
+        m, out = Model(*shared.value), []
         for at in range(0, len(texts), ROWS):
             part = texts.slice(at, ROWS)
             letters = pc.fill_null(pc.match_substring_regex(part, r"\p{L}"), False).to_numpy(zero_copy_only=False)
@@ -215,7 +230,8 @@ def identified(docs: DataFrame, model: Model, least_score: float = 0.5, most: fl
             best, least = cost.argmin(axis=1), cost.min(axis=1)
             score = 1 / np.exp2(np.maximum(least[:, None] - cost, -1000)).sum(axis=1)
             per_byte = least / np.maximum([len(t) for t in data], 1)
-            out.append(letters & (score >= least_score) & (per_byte <= limit[best]))
+            out.append(letters & (score >= least_score) & (per_byte <= limits[best]))
+        released()
         return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
 
     return docs.filter(known("text"))

@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.common import tidy
 from tillwise.staging import stage
 
 BUDGET = 3
@@ -78,7 +79,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
             values = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(make), "doc_id long, fp long")
 
 
 def popcount(x: np.ndarray) -> np.ndarray:
@@ -220,7 +221,7 @@ def links(distinct: DataFrame) -> DataFrame:
         )
     )
     both = small.unionByName(large).repartition("trie").sortWithinPartitions("trie")
-    return both.mapInArrow(_joined, "a long, b long").distinct()
+    return both.mapInArrow(tidy(_joined), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -297,7 +298,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "id", "n", "fp", "keys"])
 
     rows = docs.select(F.col("doc_id").cast("long"), _mark().alias("mark"), "text")
-    return rows.mapInArrow(make, "doc_id long, mark string, id string, n long, fp long, keys array<long>")
+    return rows.mapInArrow(tidy(make), "doc_id long, mark string, id string, n long, fp long, keys array<long>")
 
 
 def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
@@ -312,7 +313,7 @@ def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, words: int) ->
     texts = docs.select(F.col("doc_id").cast("long"), _mark().alias("mark"), "text").join(
         asked, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("mark") == F.col("__mark"))
     )
-    return stage(texts.groupBy("id").agg(F.min("text").alias("text")).mapInArrow(make, "id string, s array<long>"), "near-sets")
+    return stage(texts.groupBy("id").agg(F.min("text").alias("text")).mapInArrow(tidy(make), "id string, s array<long>"), "near-sets")
 
 
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:

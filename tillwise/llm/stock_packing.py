@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +20,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm.bpe import VOCABULARY, shared_encoder
+from tillwise.llm.common import tidy
 from tillwise.staging import stage
 
 SEQUENCE = 2048
 END = 1
-#: Column generation ends when the plan is within this share of the tokens, at the latest
-#: after so many rounds; both bound the padding only, never the documents packed.
-GAP, ROUNDS = 5e-4, 60
+#: Column generation ends when the plan is proven within this share of the least stored length, or
+#: within half a sequence, which no whole number of sequences shows.
+GAP = 5e-4
+#: Patterns brought in by a round at most, exchanges until the inverse is worked out afresh, and the
+#: largest move of a use of a pattern against circles.
+COLUMNS, AFRESH, SHIFT = 4, 200, 1e-3
+#: It also ends when so many rounds have saved less than a tenth of ``GAP``; the solution tells what is proven then.
+STALL = 30
 #: Parts in which rests of one length are ranked, so that no length meets in one task.
 RANK_PARTS = 1024
 
@@ -59,7 +66,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, size: int = SEQUENCE)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("doc_id", "text"))
-    return keyed.mapInArrow(cut, PIECES)
+    return keyed.mapInArrow(tidy(cut), PIECES)
 
 
 def priced(value: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,29 +161,41 @@ def inverted(basis: np.ndarray) -> np.ndarray:
     return inverse[place]
 
 
-def column_generation(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (rows) and how often each is used in the linear program's solution.
+@dataclass
+class Solution:
+    """Patterns (rows), how often each is used, and how the linear program got there."""
 
-    A revised simplex with one row for each length, from the greedy basis on. Each round
-    prices all fills by the knapsack and brings in the patterns of least reduced cost. It
-    ends at the tokens themselves, or at the bound that the scaled dual values prove.
+    patterns: np.ndarray
+    uses: np.ndarray
+    rounds: int
+    priced: int
+    gap: float
+
+
+def column_generation(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUENCE) -> Solution:
+    """The linear program over patterns, by a revised simplex with one row for each length.
+
+    It begins with a basis of filled sequences. Each round prices all fills by the knapsack and
+    brings in the patterns of least reduced cost. It ends, after one round at least, when the dual values
+    (scaled until no pattern violates them, or the lengths themselves, which none does) prove the plan
+    within ``GAP`` or half a sequence, when no pattern prices out, or when
+    rounds bring next to nothing; ``gap`` is what is proven in any case. The demand is moved by tiny amounts, as many
+    equal counts would let the simplex turn in circles; the result is for the demand as it is.
     """
-    start, used = exhausted(lengths, demand, size, whole=False)
-    cost = padded_size(start @ lengths, size).astype(float)
-    tokens = float(lengths @ demand)
-    if cost @ used <= tokens * (1 + GAP):
-        return start, used
-    basis = start.T.astype(float)
-    inverse, used = inverted(basis), used.astype(float)
+    basis, used = exhausted(lengths, demand, size, whole=False)
+    cost = padded_size(basis @ lengths, size).astype(float)
+    basis, used = basis.T.astype(float), used + np.random.default_rng(1).random(len(lengths)) * SHIFT
+    need, inverse, changed = basis @ used, inverted(basis), 0
     fills = np.arange(1, size + 1)
     price = padded_size(fills, size).astype(float)
-    for _ in range(ROUNDS):
-        best, last = priced(np.einsum("i,ij->j", cost, inverse), lengths, size)
-        bound = cost @ used / max(1.0, (best[1:] / price).max())
-        if cost @ used <= max(bound, tokens) * (1 + GAP):
-            break
-        entered = False
-        for fill in fills[np.argsort(price - best[1:])[:4]].tolist():
+    bound, rounds, priced_in, costs = float(lengths @ need), 0, 0, [float(cost @ used)]
+    while True:
+        rounds += 1
+        dual = np.einsum("i,ij->j", cost, inverse)
+        best, last = priced(dual, lengths, size)
+        bound = max(bound, (dual @ need) / max(1.0, (best[1:] / price).max()))
+        before = priced_in
+        for fill in fills[np.argsort(price - best[1:])[:COLUMNS]].tolist():
             column = pattern(last, lengths, fill) if np.isfinite(best[fill]) else None
             if column is None or np.einsum("i,ij->j", cost, inverse) @ column - price[fill - 1] <= 1e-6:
                 continue
@@ -193,10 +212,16 @@ def column_generation(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUE
             row = inverse[out] / move[out]
             inverse -= np.outer(move, row)
             inverse[out] = row
-            entered = True
-        if not entered:
+            priced_in, changed = priced_in + 1, changed + 1
+        if changed >= AFRESH:  # rounding errors add up
+            inverse, changed = inverted(basis), 0
+            used = np.maximum(np.einsum("ij,j->i", inverse, need), 0)
+        costs.append(float(cost @ used))
+        stalled = len(costs) > STALL and costs[-STALL - 1] - costs[-1] < GAP / 10 * bound
+        if priced_in == before or stalled or costs[-1] <= bound + max(GAP * bound, size / 2):
             break
-    return np.rint(basis.T).astype(np.int64), used
+    used = np.maximum(np.einsum("ij,j->i", inverted(basis), demand.astype(float)), 0)
+    return Solution(np.rint(basis.T).astype(np.int64), used, rounds, priced_in, float(cost @ used / bound - 1))
 
 
 def rounded(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
@@ -205,8 +230,8 @@ def rounded(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUENCE) -> tu
     The solution is rounded down; the rests that stay (at most what each pattern holds,
     however many documents there are) fill further sequences greedily.
     """
-    found, used = column_generation(lengths, demand, size)
-    whole = np.floor(used + 1e-6).astype(np.int64)
+    solution = column_generation(lengths, demand, size)
+    found, whole = solution.patterns, np.floor(solution.uses + 1e-6).astype(np.int64)
     left = demand - whole @ found
     while (left < 0).any():  # a rounding error took a rest too many
         short = int(np.flatnonzero(left < 0)[0])

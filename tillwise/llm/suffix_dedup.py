@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import bitmap, encoded, gear_table, mixed, split_by, steps
+from tillwise.llm.common import bitmap, encoded, gear_table, mixed, split_by, steps, tidy
 from tillwise.staging import stage
 
 LENGTH = 200
@@ -105,7 +105,7 @@ def anchor_hashes(docs: DataFrame) -> DataFrame:
                 _, h, _ = anchors(np.frombuffer(b"".join(texts[lo:hi]), np.uint8), bounds)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["key"])
 
-    return docs.select("text").mapInArrow(find, "key long")
+    return docs.select("text").mapInArrow(tidy(find), "key long")
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                     names=["key", "around", "doc_id", "at"],
                 )
 
-    return _rows(docs).mapInArrow(find, "key long, around long, doc_id long, at long")
+    return _rows(docs).mapInArrow(tidy(find), "key long, around long, doc_id long, at long")
 
 
 def deep_shallow(texts: np.ndarray, group: np.ndarray, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
@@ -308,13 +308,13 @@ def stretches(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
             )
 
     on = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("check") == F.col("__check"))
-    fetched = some.join(spots, on).select("text", "spots").mapInArrow(fetch, "key long, around long, left binary, right binary, kinds long")
+    fetched = some.join(spots, on).select("text", "spots").mapInArrow(tidy(fetch), "key long, around long, left binary, right binary, kinds long")
     fetched = fetched.dropDuplicates(["key", "around"])  # rows that stand twice in the table
     fetched = stage(fetched, "suffix-texts")
     small = fetched.filter(F.col("kinds") <= group_rows).select("key", "around", "left", "right")
-    sorted_out = small.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_groups, _STRETCH)
+    sorted_out = small.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_sorted_groups), _STRETCH)
     strings = fetched.filter(F.col("kinds") > group_rows).select("key", "around", "left", "right")
-    strings = strings.mapInArrow(_string_hashes, "key long, around long, low int, string binary")
+    strings = strings.mapInArrow(tidy(_string_hashes), "key long, around long, low int, string binary")
     # By anchor and place too: one string may hold several anchors, and is then dealt out by each.
     same = ["key", "low", "string"]
     twice = strings.groupBy(*same).agg(F.count("*").alias("n")).filter("n > 1").select(*same)
@@ -389,7 +389,7 @@ def removals(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     empty = F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("__spots")
-    return some.mapInArrow(apply, schema).unionByName(none.select("*", empty).mapInArrow(apply, schema))
+    return some.mapInArrow(tidy(apply), schema).unionByName(none.select("*", empty).mapInArrow(tidy(apply), schema))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -418,4 +418,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             stays = pa.array([k is None or bool(k.strip()) for k in kept])
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(stays)
 
-    return some.select(*names, "__spots").mapInArrow(apply, docs.schema).unionByName(none.select(*names))
+    return some.select(*names, "__spots").mapInArrow(tidy(apply), docs.schema).unionByName(none.select(*names))
