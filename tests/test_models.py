@@ -7,10 +7,9 @@ import sys
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tillwise.config import BoostConfig
+from tillwise.config import FEATURES, BoostConfig
 from tillwise.operators import boosting, churn, clusters, clv, demand
 from tillwise.operators.metrics import temporal_split
 from tillwise.plans import reports
@@ -75,33 +74,107 @@ def test_value_scores(buyers):
     assert zero[0] == pytest.approx(0, abs=1e-6)
 
 
-def test_quantile_boost_covers(spark):
-    """Noise whose width depends on x: both bounds follow it."""
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """Noise whose width depends on the first of two features; the second says nothing."""
     rng = np.random.default_rng(2)
-    x = rng.random(4000)
-    frame = pd.DataFrame({"x": x, "label": 10 + rng.normal(0, 1 + 4 * (x > 0.5))})
-    rows = spark.createDataFrame(frame).select(
-        array_to_vector(F.array("x")).alias("features"), F.array("x").alias("xs"), "label", (F.pmod(F.xxhash64("x"), F.lit(5)) == 0).alias("held_out")
-    )
-    config = BoostConfig(rounds=6, depth=2, step=0.5, min_rows=20)
-    low, high = (boosting.fit_quantile(rows, a, config, patience=4) for a in (0.1, 0.9))
-    scored = rows.select("label", "xs", low.predict("xs").alias("lo"), high.predict("xs").alias("hi")).toPandas()
+    x = rng.random((4000, 2))
+    frame = pd.DataFrame({"x": list(x), "label": 10 + rng.normal(0, 1 + 4 * (x[:, 0] > 0.5))})
+    held = (F.pmod(F.xxhash64("features"), F.lit(5)) == 0).alias("held_out")
+    rows = spark.createDataFrame(frame).withColumnRenamed("x", "features")
+    return rows.select("features", "label", held).repartition(8, "label")
+
+
+def test_quantile_boost_covers(noisy):
+    config = BoostConfig(rounds=6, depth=2, step=0.5, min_rows=20, column_fraction=1.0)
+    data = boosting.bin_rows(noisy)  # binned once for both bounds
+    low, high = (boosting.fit_quantile(data, a, config, patience=4) for a in (0.1, 0.9))
+    scored = noisy.select("label", "features", low.predict("features").alias("lo"), high.predict("features").alias("hi")).toPandas()
     assert ((scored.label >= scored.lo) & (scored.label <= scored.hi)).mean() == pytest.approx(0.8, abs=0.05)
-    width = (scored.hi - scored.lo).groupby(scored["xs"].map(lambda v: v[0] > 0.5)).mean()
+    width = (scored.hi - scored.lo).groupby(scored["features"].map(lambda v: v[0] > 0.5)).mean()
     assert width[True] > 3 * width[False]
-
-
-def test_flat_tree_agrees_with_the_model(spark):
-    from pyspark.ml.regression import DecisionTreeRegressor
-
-    rng = np.random.default_rng(4)
-    frame = pd.DataFrame(rng.random((500, 2)), columns=["a", "b"]).assign(label=lambda d: d.a * 3 + (d.b > 0.4))
-    rows = spark.createDataFrame(frame).withColumn("features", array_to_vector(F.array("a", "b")))
-    tree = DecisionTreeRegressor(maxDepth=4, leafCol="leaf").fit(rows)
-    scored = tree.transform(rows).toPandas()
-    values = scored.groupby("leaf").prediction.first()
-    flat = boosting.flatten_tree(tree, {int(k): v for k, v in values.items()})
-    assert np.allclose(flat.predict(scored[["a", "b"]].to_numpy()), scored.prediction)
+    assert high.gains(2)[0] > 0.8 and high.gains(2).sum() == pytest.approx(1)
+
+
+def plain_boost(x, y, held, keys, alpha, config, edges, rounds):
+    """The same rounds on one machine: exhaustive search over all cuts, plain quantiles."""
+    def quantile(v):
+        v = np.sort(v)
+        return v[int(np.searchsorted(np.arange(1, len(v) + 1), alpha * len(v)))]
+
+    fit, losses = np.full(len(y), quantile(y[~held])), []
+    for number in range(1, rounds + 1):
+        columns = np.sort(np.random.default_rng([config.seed, number]).permutation(x.shape[1])[: math.ceil(config.column_fraction * x.shape[1])])
+        block = boosting.Block(x, y, held, keys, fit)
+        drawn = np.zeros(len(y), bool)
+        drawn[block.drawn(number + config.seed, config.row_fraction)] = True
+        gradient = np.where(y > fit, alpha, alpha - 1)
+        shift = np.zeros(len(y))
+
+        def split(rows, depth):
+            own, best = rows & drawn, (1e-9, None, None)
+            for f in columns if depth < config.depth else ():
+                for cut in edges[f]:
+                    left = own & (x[:, f] <= cut)
+                    right = own & ~left
+                    if min(left.sum(), right.sum()) >= config.min_rows:
+                        gain = sum(gradient[p].sum() ** 2 / p.sum() for p in (left, right)) - gradient[own].sum() ** 2 / own.sum()
+                        if gain > best[0] + 1e-9:
+                            best = gain, f, cut
+            if best[1] is None:
+                shift[rows] = quantile((y - fit)[rows & ~held])
+                return
+            split(rows & (x[:, best[1]] <= best[2]), depth + 1)
+            split(rows & (x[:, best[1]] > best[2]), depth + 1)
+
+        split(np.ones(len(y), bool), 0)
+        fit = fit + config.step * shift
+        left = (y - fit)[held]
+        losses.append(np.maximum(left * alpha, left * (alpha - 1)).mean())
+    return fit, losses
+
+
+@pytest.mark.parametrize("alpha", [0.5, 0.9])
+def test_rounds_equal_a_plain_loop(noisy, alpha, monkeypatch):
+    monkeypatch.setattr(boosting, "POINTS", 100_000)  # exact quantiles
+    config = BoostConfig(rounds=4, depth=3, step=0.3, min_rows=30, row_fraction=0.7, column_fraction=0.5)
+    data = boosting.bin_rows(noisy, bins=12)
+    model = boosting.fit_quantile(data, alpha, config, patience=50)
+    table = noisy.withColumn("key", F.xxhash64(F.col("features").cast("string"), "label")).toPandas()
+    x = np.stack(table.features)
+    inputs = x, table.label.to_numpy(), table.held_out.to_numpy(), table.key.to_numpy().view(np.uint64), alpha, config, data.edges
+    assert np.allclose(model.losses, plain_boost(*inputs, 4)[1], atol=1e-6)
+    assert np.allclose(model.score(x), plain_boost(*inputs, len(model.trees))[0]) and model.trees
+
+
+def test_patience_ends_the_fit_and_keeps_the_best_round(noisy):
+    config = BoostConfig(rounds=200, depth=4, step=0.6, min_rows=5, row_fraction=1.0)
+    model = boosting.fit_quantile(noisy, 0.5, config, patience=5)
+    best = int(np.argmin(model.losses)) + 1
+    assert len(model.trees) == best and len(model.losses) == best + 5 < 200
+    # Without held-out rows nothing ends the fit.
+    whole = boosting.fit_quantile(noisy.withColumn("held_out", F.lit(False)), 0.5, BoostConfig(rounds=3, depth=2), patience=1)
+    assert len(whole.trees) == 3 and whole.losses == []
+    with pytest.raises(ValueError, match="no training rows"):
+        boosting.fit_quantile(noisy.limit(0), 0.5, config)
+
+
+def test_fifty_rounds_of_patience(noisy):
+    """The default: the 50th round without a lower loss is the last."""
+    config = BoostConfig(rounds=1000, depth=1, step=0.9, min_rows=500, row_fraction=1.0)
+    model = boosting.fit_quantile(noisy, 0.5, config)
+    assert len(model.losses) == len(model.trees) + 50
+
+
+def test_summaries_keep_ranks():
+    rng = np.random.default_rng(3)
+    values = rng.gamma(2, 5, 50_000)
+    parts = [boosting.summary(p) for p in np.split(values, 10)]
+    whole = boosting.summary(*(np.concatenate(c) for c in zip(*parts)))
+    assert whole[1].sum() == 50_000 and len(whole[0]) <= boosting.POINTS
+    for alpha in (0.1, 0.5, 0.9):
+        assert abs((values <= boosting.at_share(whole, alpha)).mean() - alpha) < 2.5 / boosting.POINTS
+    assert boosting.at_share(boosting.summary(np.array([3.0, 1.0, 2.0])), 0.5) == 2
 
 
 @pytest.fixture(scope="module")
@@ -109,37 +182,42 @@ def signal(spark):
     """Weeks whose quantity follows one feature; the other is noise."""
     rng = np.random.default_rng(8)
     n = 3000
-    frame = pd.DataFrame({"lag_1": rng.integers(0, 50, n).astype(float), "noise": rng.random(n), "id": np.arange(n)})
+    frame = pd.DataFrame({"lag_1": rng.integers(0, 50, n).astype(float), "lag_2": rng.random(n), "id": np.arange(n)})
     frame["quantity"] = frame.lag_1 * 2 + rng.normal(0, 1, n)
     frame["week"] = pd.Timestamp("2013-06-03") + pd.to_timedelta(rng.integers(0, 180, n) * 7, unit="D")
     df = spark.createDataFrame(frame).withColumn("week", F.col("week").cast("date"))
     return temporal_split(df)
 
 
-CONFIG = BoostConfig(rounds=10, depth=4, step=0.4, row_fraction=1.0, column_fraction=1.0)
+CONFIG = BoostConfig(rounds=15, depth=4, step=0.4, row_fraction=1.0, column_fraction=1.0)
+INPUTS = ["lag_1", "lag_2"]
 
 
 def test_point_model_beats_the_naive_forecast(signal):
-    model = demand.fit_point(signal, ["lag_1", "noise"], config=CONFIG)
+    model = demand.fit_point(signal, INPUTS, config=CONFIG)
     test = signal.where("split = 'Test'")
     naive = test.agg(F.avg(F.abs(F.col("quantity") - F.col("lag_1")))).first()[0]
-    assert demand.mean_error(demand.point_scorer(model, ["lag_1", "noise"])(test)) < naive / 4
-    moved = demand.permutation_importance(model, test, ["id"], ["lag_1", "noise"]).toPandas().set_index("feature").importance
-    assert moved["lag_1"] > 10 and abs(moved["noise"]) < 1
-    gain = demand.gain_importance(model, signal, ["lag_1", "noise"]).toPandas().set_index("feature").importance
+    assert demand.mean_error(demand.point_scorer(model, INPUTS)(test)) < naive / 4
+    moved = demand.permutation_importance(model, test, ["id"], INPUTS).toPandas().set_index("feature").importance
+    assert moved["lag_1"] > 10 and abs(moved["lag_2"]) < 1
+    gain = demand.gain_importance(model, signal, INPUTS).toPandas().set_index("feature").importance
     assert gain["lag_1"] > 0.9
 
 
 def test_all_three_models(signal, spark, tmp_path):
-    models = demand.fit_models(signal, ["lag_1", "noise"], config=BoostConfig(rounds=4, depth=4, step=0.5), extra_rounds=2, patience=3)
+    models = demand.fit_models(signal, INPUTS, config=BoostConfig(rounds=4, depth=4, step=0.5, column_fraction=1.0), extra_rounds=2, patience=3)
     test = signal.where("split = 'Test'")
     scored = models.score(test)
     assert {"pred", "pred_lo", "pred_hi"} <= set(scored.columns)
     assert scored.where("pred_hi < pred_lo").count() == 0
+    assert max(len(m.losses) for m in (models.low, models.high)) <= len(models.point.trees) + 2
     demand.save_demand_models(spark, str(tmp_path / "models"), models)
-    again = demand.load_demand_models(spark, str(tmp_path / "models")).score(test)
+    again = demand.load_demand_models(spark, str(tmp_path / "models"))
     columns = ["id", "pred", "pred_lo", "pred_hi"]
-    assert again.select(columns).exceptAll(scored.select(columns)).count() == 0
+    assert again.score(test).select(columns).exceptAll(scored.select(columns)).count() == 0
+    x = np.full((5, len(FEATURES)), np.nan)
+    x[:, FEATURES.index("lag_1")] = np.arange(5)
+    assert np.allclose(again.arrays()(x)[0], models.point.score(np.stack([np.arange(5.0), np.zeros(5)], axis=1)))
 
 
 def test_scores_need_no_package_on_the_executors():
@@ -153,7 +231,7 @@ def test_scores_need_no_package_on_the_executors():
 
 
 def test_search_returns_its_best_trial(signal):
-    table, best = demand.random_search(signal, ["lag_1", "noise"], trials=2, base=BoostConfig(rounds=3))
+    table, best = demand.random_search(signal, INPUTS, trials=2, base=BoostConfig(rounds=3))
     rows = table.orderBy("val_mae").collect()
     assert len(rows) == 2 and rows[0].depth == best["depth"] and rows[0].step == best["step"]
 

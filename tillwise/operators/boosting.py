@@ -30,6 +30,8 @@ BINS = 64
 #: Points in a summary of residuals; a merged summary is off by one part in as many, in ranks.
 POINTS = 1024
 CUT_EVERY = 20
+#: Rows that a task counts at least, if there are more than one.
+TASK_ROWS = 20_000
 _MODEL_SCHEMA = (
     "tree int, alpha double, step double, start double, feature array<int>, threshold array<double>, "
     "left array<int>, right array<int>, value array<double>, gain array<double>, losses array<double>"
@@ -132,7 +134,7 @@ class Block:
 
     def drawn(self, number: int, share: float) -> np.ndarray:
         """Training rows of one round; a row's draw depends on its content, so a retry repeats it."""
-        h = self.key * np.uint64(0x9E3779B97F4A7C15) + np.uint64(number) * np.uint64(0xD1B54A32D192ED03)
+        h = self.key * np.uint64(0x9E3779B97F4A7C15) + np.uint64(number * 0xD1B54A32D192ED03 & (1 << 64) - 1)
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         return np.flatnonzero(~self.held_out & ((h >> np.uint64(40)).astype(float) < share * (1 << 24)))
@@ -191,6 +193,8 @@ def bin_rows(rows: DataFrame, bins: int = BINS) -> BinnedRows:
         return Block(np.frombuffer(row[0], np.uint8).reshape(-1, width), label, np.frombuffer(row[2], bool), np.frombuffer(row[3], np.int64).view(np.uint64), np.zeros(len(label)))
 
     packed = binned.mapInArrow(pack, "bins binary, label binary, held_out binary, key binary")
+    # A few rows for each of many tasks cost more than they count.
+    packed = packed.coalesce(max(1, min(packed.rdd.getNumPartitions(), math.ceil(found["n"] / TASK_ROWS))))
     blocks = packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
     return BinnedRows(spark, blocks, edges, binned.where("held_out").limit(1).count() > 0)
 
@@ -205,15 +209,15 @@ def merged(blocks: RDD, of: Callable[[Block], T], add: Callable[[T, T], T]) -> T
 Summary = tuple[np.ndarray, np.ndarray]
 
 
-def summary(values: np.ndarray, weights: np.ndarray | None = None, points: int = POINTS) -> Summary:
-    """Sorted values with weights, at most ``points`` of them; exact while there are no more."""
+def summary(values: np.ndarray, weights: np.ndarray | None = None) -> Summary:
+    """Sorted values with weights, at most ``POINTS`` of them; exact while there are no more."""
     order = np.argsort(values, kind="stable")
     values = values[order]
     weights = np.ones(len(values), dtype=np.int64) if weights is None else weights[order]
-    if len(values) <= points:
+    if len(values) <= POINTS:
         return values, weights
     upto = np.cumsum(weights)
-    ends = np.unique(np.searchsorted(upto, upto[-1] * np.arange(1, points + 1) / points))
+    ends = np.unique(np.searchsorted(upto, upto[-1] * np.arange(1, POINTS + 1) / POINTS))
     ends[-1] = len(values) - 1
     middle = np.searchsorted(upto, (np.append(0, upto[ends[:-1]]) + upto[ends]) / 2)
     return values[middle], np.diff(upto[ends], prepend=0)

@@ -3,12 +3,9 @@ the standardised features."""
 
 from __future__ import annotations
 
-from dataclasses import asdict
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.config import BoostConfig
 from tillwise.operators import churn, clusters, clv, customers, demand, forecast
 from tillwise.operators.metrics import regression_metrics, temporal_split
 from tillwise.plans import reports
@@ -16,9 +13,6 @@ from tillwise.plans.queries import SPLIT, Panel, query
 from tillwise.sources import star
 from tillwise.staging import stage
 
-# A small training budget: the queries show the whole fit, not the last bit of accuracy.
-BUDGET = BoostConfig(rounds=8, depth=4, step=0.3)
-
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.rfm_base(star.invoices(spark, sf_dir), one_row_per_invoice=True)
@@ -29,7 +23,7 @@ def _training(p: Panel) -> DataFrame:
 
 
 def _models(rows: DataFrame) -> demand.DemandModels:
-    return demand.fit_models(rows, config=BUDGET, extra_rounds=2, patience=3)
+    return demand.fit_models(rows)
 
 
 @query
@@ -95,7 +89,7 @@ def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error measures of a fitted point model on the held-out splits."""
     rows = _training(Panel(spark, sf_dir))
-    model = demand.fit_point(rows, config=BUDGET)
+    model = demand.fit_point(rows)
     return regression_metrics(demand.point_scorer(model)(rows.where("split <> 'Train'")))
 
 
@@ -118,7 +112,7 @@ def model_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Permutation importance on held-out rows next to the trees' gain."""
     rows = _training(Panel(spark, sf_dir))
-    model = demand.fit_point(rows, config=BUDGET)
+    model = demand.fit_point(rows)
     held_out = rows.where("split = 'Test'")
     moved = demand.permutation_importance(model, held_out, ["product_id", "store_id", "week"])
     gain = demand.gain_importance(model, rows).withColumnRenamed("importance", "gain")
@@ -128,13 +122,14 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def model_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _training(Panel(spark, sf_dir))
-    model = demand.fit_point(rows, config=BUDGET)
+    model = demand.fit_point(rows)
     metrics = regression_metrics(demand.point_scorer(model)(rows.where("split <> 'Train'")))
-    return reports.model_card(stage(metrics, "metrics"), demand.gain_importance(model, rows))
+    told = {"best_round": len(model.trees), "fitted_rounds": len(model.losses), "validation_mae": 2 * min(model.losses)}
+    return reports.model_card(stage(metrics, "metrics"), demand.gain_importance(model, rows), training=told)
 
 
 @query
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _training(Panel(spark, sf_dir))
-    table, _ = demand.random_search(rows, trials=2, base=BoostConfig(**{**asdict(BUDGET), "rounds": 4}))
+    table, _ = demand.random_search(rows)
     return table

@@ -167,8 +167,8 @@ def top_products(forecasts: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
-def model_card(metrics: DataFrame, importance: DataFrame, n: int = 10) -> DataFrame:
-    """Error measures of both held-out splits and the most important features."""
+def model_card(metrics: DataFrame, importance: DataFrame, n: int = 10, training: Mapping[str, float] | None = None) -> DataFrame:
+    """Error measures of both held-out splits, the most important features and facts of the ``training``."""
     found = {r["split"] for r in metrics.select("split").distinct().collect()}
     missing = {"Validation", "Test"} - found
     if missing:
@@ -180,7 +180,9 @@ def model_card(metrics: DataFrame, importance: DataFrame, n: int = 10) -> DataFr
     top = importance.orderBy(F.desc("importance"), "feature").limit(n).select(
         F.lit("importance").alias("section"), F.col("feature").alias("name"), F.col("importance").alias("value")
     )
-    return measures.unionByName(top)
+    facts = [("training", name, float(value)) for name, value in (training or {}).items()]
+    told = metrics.sparkSession.createDataFrame(facts, "section string, name string, value double")
+    return measures.unionByName(top).unionByName(told)
 
 
 # ---- customers -----------------------------------------------------------------------
