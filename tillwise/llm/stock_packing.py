@@ -33,6 +33,8 @@ GAP = 5e-4
 COLUMNS, AFRESH, SHIFT = 4, 200, 1e-3
 #: It also ends when so many rounds have saved less than a tenth of ``GAP``; the solution tells what is proven then.
 STALL = 30
+#: Rests by which the plan of a basis may miss the demand before the basis counts as ill.
+EXACT = 1e-4
 #: Parts in which rests of one length are ranked, so that no length meets in one task.
 RANK_PARTS = 1024
 
@@ -175,32 +177,43 @@ class Solution:
 def column_generation(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUENCE) -> Solution:
     """The linear program over patterns, by a revised simplex with one row for each length.
 
-    It begins with a basis of filled sequences. Each round prices all fills by the knapsack and
-    brings in the patterns of least reduced cost. It ends, after one round at least, when the dual values
-    (scaled until no pattern violates them, or the lengths themselves, which none does) prove the plan
-    within ``GAP`` or half a sequence, when no pattern prices out, or when
-    rounds bring next to nothing; ``gap`` is what is proven in any case. The demand is moved by tiny amounts, as many
-    equal counts would let the simplex turn in circles; the result is for the demand as it is.
+    It begins with a basis of filled sequences. Each round prices all fills by the knapsack, in the first
+    with the lengths as dual values, which no pattern violates, so that the tokens are a bound;
+    then with those of the basis, bringing in the patterns of least reduced cost. It ends when the dual
+    values (scaled until no pattern violates them) prove the plan within ``GAP`` or half a sequence,
+    when no pattern prices out, or when rounds bring next to nothing; ``gap`` is what is proven in any
+    case. The demand is moved by tiny amounts, as many equal counts would let the simplex turn in
+    circles; the result is for the demand as it is. A basis that cannot be inverted
+    well is not exchanged further: the last plan that meets the demand stands.
     """
-    basis, used = exhausted(lengths, demand, size, whole=False)
-    cost = padded_size(basis @ lengths, size).astype(float)
-    basis, used = basis.T.astype(float), used + np.random.default_rng(1).random(len(lengths)) * SHIFT
-    need, inverse, changed = basis @ used, inverted(basis), 0
+    first, first_used = exhausted(lengths, demand, size, whole=False)
+    cost = padded_size(first @ lengths, size).astype(float)
     fills = np.arange(1, size + 1)
     price = padded_size(fills, size).astype(float)
-    bound, rounds, priced_in, costs = float(lengths @ need), 0, 0, [float(cost @ used)]
-    while True:
+    best, _ = priced(lengths.astype(float), lengths, size)
+    bound = float(lengths @ demand) / max(1.0, (best[1:] / price).max())
+    rounds, priced_in, plan = 1, 0, (first, first_used.astype(float), float(cost @ first_used))
+
+    def proven(total: float) -> bool:
+        return total <= bound + max(GAP * bound, size / 2)
+
+    basis, costs, changed = first.T.astype(float), [plan[2]], 0
+    need = basis @ (first_used + np.random.default_rng(1).random(len(lengths)) * SHIFT)
+    inverse = inverted(basis) if not proven(plan[2]) else basis
+    used = np.maximum(np.einsum("ij,j->i", inverse, need), 0)
+    fine = not proven(plan[2]) and np.abs(basis @ used - need).max() < EXACT
+    while fine and not proven(plan[2]):
         rounds += 1
         dual = np.einsum("i,ij->j", cost, inverse)
         best, last = priced(dual, lengths, size)
-        bound = max(bound, (dual @ need) / max(1.0, (best[1:] / price).max()))
+        bound = max(bound, (dual @ demand) / max(1.0, (best[1:] / price).max()))
         before = priced_in
         for fill in fills[np.argsort(price - best[1:])[:COLUMNS]].tolist():
             column = pattern(last, lengths, fill) if np.isfinite(best[fill]) else None
             if column is None or np.einsum("i,ij->j", cost, inverse) @ column - price[fill - 1] <= 1e-6:
                 continue
             move = np.einsum("ij,j->i", inverse, column)
-            can = move > 1e-9
+            can = move > 1e-6
             if not can.any():
                 continue
             ratio = np.where(can, used / np.where(can, move, 1), np.inf)
@@ -213,15 +226,19 @@ def column_generation(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUE
             inverse -= np.outer(move, row)
             inverse[out] = row
             priced_in, changed = priced_in + 1, changed + 1
-        if changed >= AFRESH:  # rounding errors add up
-            inverse, changed = inverted(basis), 0
-            used = np.maximum(np.einsum("ij,j->i", inverse, need), 0)
         costs.append(float(cost @ used))
         stalled = len(costs) > STALL and costs[-STALL - 1] - costs[-1] < GAP / 10 * bound
-        if priced_in == before or stalled or costs[-1] <= bound + max(GAP * bound, size / 2):
+        done = priced_in == before or stalled or proven(costs[-1])
+        if changed >= AFRESH or done:  # rounding errors add up
+            inverse, changed = inverted(basis), 0
+            used = np.maximum(np.einsum("ij,j->i", inverse, need), 0)
+            exact = np.maximum(np.einsum("ij,j->i", inverse, demand.astype(float)), 0)
+            fine = np.abs(basis @ used - need).max() < EXACT
+            if fine and np.abs(basis @ exact - demand).max() < 0.5 and float(cost @ exact) < plan[2]:
+                plan = np.rint(basis.T).astype(np.int64), exact, float(cost @ exact)
+        if done:
             break
-    used = np.maximum(np.einsum("ij,j->i", inverted(basis), demand.astype(float)), 0)
-    return Solution(np.rint(basis.T).astype(np.int64), used, rounds, priced_in, float(cost @ used / bound - 1))
+    return Solution(plan[0], plan[1], rounds, priced_in, plan[2] / bound - 1)
 
 
 def rounded(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
@@ -231,12 +248,11 @@ def rounded(lengths: np.ndarray, demand: np.ndarray, size: int = SEQUENCE) -> tu
     however many documents there are) fill further sequences greedily.
     """
     solution = column_generation(lengths, demand, size)
-    found, whole = solution.patterns, np.floor(solution.uses + 1e-6).astype(np.int64)
-    left = demand - whole @ found
-    while (left < 0).any():  # a rounding error took a rest too many
-        short = int(np.flatnonzero(left < 0)[0])
-        whole[np.flatnonzero((found[:, short] > 0) & (whole > 0))[0]] -= 1
-        left = demand - whole @ found
+    found, whole, left = solution.patterns, np.floor(solution.uses + 1e-6).astype(np.int64), demand.copy()
+    for p in np.flatnonzero(whole):
+        on = np.flatnonzero(found[p])
+        whole[p] = min(whole[p], int((left[on] // found[p, on]).min()))  # never more than there are
+        left[on] -= whole[p] * found[p, on]
     more, times = exhausted(lengths, left, size, whole=True)
     return np.concatenate([found[whole > 0], more]), np.concatenate([whole[whole > 0], times]).astype(np.int64)
 
