@@ -25,6 +25,33 @@ def test_hypergeometric_series():
     assert np.allclose(clv.hyp2f1(np.ones(3), np.ones(3), 2 * np.ones(3), z), -np.log(1 - z) / z)
 
 
+def test_derivatives_of_log_gamma():
+    x, h = np.array([0.05, 0.3, 1.0, 2.5, 17.0, 400.0]), 1e-5
+    assert np.allclose(clv.digamma(x), (clv.lgamma(x * (1 + h)) - clv.lgamma(x * (1 - h))) / (2 * h * x), rtol=1e-6, atol=1e-7)
+    assert np.allclose(clv.trigamma(x), (clv.digamma(x * (1 + h)) - clv.digamma(x * (1 - h))) / (2 * h * x), rtol=1e-6)
+    assert clv.digamma(np.array(1.0)) == pytest.approx(-0.5772156649, abs=1e-9)
+    assert clv.trigamma(np.array(1.0)) == pytest.approx(math.pi**2 / 6, abs=1e-9)
+
+
+@pytest.mark.parametrize("likelihood, at", [(clv.bgnbd_likelihood, [0.8, 6.0, 2.5, 3.0]), (clv.gamma_gamma_likelihood, [6.0, 4.0, 1.3])])
+def test_derivatives_of_the_likelihoods(spark, likelihood, at):
+    """One pass over the rows against differences of the plain likelihood."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0 if len(at) == 4 else 1, 9, 300)
+    recent = np.where(x > 0, rng.random(300) * 40, 0.0)
+    frame = pd.DataFrame({"frequency": x, "recency": recent, "T": 52.0, "monetary_value": rng.gamma(2, 2, 300), "n": rng.integers(1, 5, 300)})
+    value, slope, curve = clv.sum_derivatives(spark.createDataFrame(frame).repartition(3), likelihood, np.log(at))
+
+    def mean(u):
+        return np.average(likelihood(np.exp(u), frame), weights=frame.n)
+
+    u, h, axes = np.log(at), 1e-4, np.eye(len(at))
+    assert value == pytest.approx(mean(u))
+    assert np.allclose(slope, [(mean(u + h * e) - mean(u - h * e)) / (2 * h) for e in axes], atol=1e-6)
+    mixed = [[(mean(u + h * (d + e)) - mean(u + h * (d - e)) - mean(u - h * (d - e)) + mean(u - h * (d + e))) / (4 * h * h) for e in axes] for d in axes]
+    assert np.allclose(curve, mixed, atol=1e-4)
+
+
 @pytest.fixture(scope="module")
 def buyers(spark):
     """Customers simulated from known purchase, dropout and spend parameters."""
@@ -59,6 +86,19 @@ def test_purchase_parameters_are_recovered(buyers):
     assert values[0] >= values[1:].max() - 1e-7
 
 
+def test_fits_take_few_passes_or_fail(buyers, monkeypatch):
+    calls, real = [], clv.sum_derivatives
+    monkeypatch.setattr(clv, "sum_derivatives", lambda *a: calls.append(1) or real(*a))
+    clv.fit_bgnbd(buyers)
+    assert len(calls) <= 12
+    calls.clear()
+    clv.fit_gamma_gamma(buyers)
+    assert len(calls) <= 12
+    counts = buyers.groupBy("frequency", "recency", "T").agg(F.count("*").alias("n"))
+    with pytest.raises(ArithmeticError, match="passes"):
+        clv.maximise(counts, clv.bgnbd_likelihood, np.array([1.0, 50.0, 1.0, 2.0]), 0.01, passes=1)
+
+
 def test_spend_parameters_are_recovered(buyers):
     got = clv.fit_gamma_gamma(buyers, penalizer=0.0)
     assert got["p"] == pytest.approx(6, rel=0.3) and got["q"] == pytest.approx(4, rel=0.3)
@@ -263,6 +303,25 @@ def test_out_of_fold_scores_cover_all_customers_once(people):
     assert churn.ranking_quality(got) > 0.95
 
 
+def test_folds_share_every_class(people):
+    df, _ = people
+    labelled = df.withColumn("churned", churn.churn_label(F.col("recency"), 250))
+    got = churn.stratified_folds(labelled, "customer_id", "churned", 5).toPandas()
+    assert sorted(got.customer_id) == list(range(600)) and set(got._fold) == set(range(5))
+    for _, sizes in got.groupby(["churned", "_fold"]).size().groupby("churned"):
+        assert len(sizes) == 5 and sizes.max() - sizes.min() <= 1
+    again = churn.stratified_folds(labelled.repartition(7), "customer_id", "churned", 5).toPandas()
+    assert dict(zip(got.customer_id, got._fold)) == dict(zip(again.customer_id, again._fold))
+    twins = labelled.unionByName(labelled.where("customer_id < 50"))
+    assert churn.stratified_folds(twins, "customer_id", "churned", 3).count() == 650
+
+
+def test_churn_quality(people):
+    df, _ = people
+    got = {r.name: r.value for r in churn.churn_quality(df).collect()}
+    assert got["auc_out_of_fold"] > 0.95 and got["weight_recency"] > 1 > abs(got["weight_monetary"])
+
+
 def test_clusters_and_silhouette(spark):
     rng = np.random.default_rng(7)
     centres = np.array([[0, 0, 0], [30, 0, 5], [0, 30, 9], [30, 30, 14]])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.columns import churn_tier, flag
 from tillwise.operators.parallel import fit_all
+from tillwise.operators.ranks import running_total
 from tillwise.staging import stage
 
 CHURN_FEATURES = ("recency", "frequency", "monetary", "avg_order_value")
@@ -39,9 +40,29 @@ def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     })
 
 
-def fold_of(key: str, k: int, seed: int = 42) -> Column:
-    """Fold 0..k-1 from the key's hash: stable, and balanced for any key."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(k)).cast("int")
+def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int = 42, into: str = "_fold") -> DataFrame:
+    """Folds 0..k-1 in which every class has the same number of rows, give or take one.
+
+    Rows are ranked by class and, within it, by the hash of their key; the rank modulo k is the
+    fold. The ranking is one range shuffle, so neither a class nor a fold meets in a task. A row's
+    place among equal keys does not matter.
+    """
+    chance = df.withColumn("_chance", F.xxhash64(key, F.lit(seed))).withColumn("_twin", F.monotonically_increasing_id())
+    ranked = running_total(stage(chance, "fold-keys"), [label, "_chance", key, "_twin"], None, "_rank")
+    return ranked.withColumn(into, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_chance", "_twin")
+
+
+def fit_churn(rows: DataFrame, label: str = "churned", c: float = 1.0) -> LogisticRegressionModel:
+    """Ridge-penalised logistic regression of strength 1 / C on ``_features``."""
+    return LogisticRegression(
+        featuresCol="_features", labelCol=label, maxIter=500, elasticNetParam=0.0,
+        regParam=1.0 / (c * max(rows.count(), 1)), standardization=False,
+        probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_class",
+    ).fit(rows.select("_features", label))
+
+
+def feature_vector(features: Sequence[str] = CHURN_FEATURES) -> Column:
+    return array_to_vector(F.array(*[F.col(f"{f}_std") for f in features]))
 
 
 def oof_probability(
@@ -50,27 +71,13 @@ def oof_probability(
 ) -> DataFrame:
     """Probability of the label for every row, from a model that has not seen its fold.
 
-    Ridge-penalised logistic regression of strength 1 / C on features standardised over
-    all rows. The folds are independent fits on the cluster; no row is scored twice.
+    The features are standardised over all rows and the folds stratified by the label. The
+    folds are independent fits on the cluster; no row is scored twice.
     """
-    vector = array_to_vector(F.array(*[F.col(f"{f}_std") for f in features]))
-    rows = stage(
-        standardise(df, features).withColumns({"_features": vector, "_fold": fold_of(key, k)})
-        .drop(*[f"{f}_std" for f in features]),
-        "folds",
-    )
-    sizes = {r["_fold"]: r["count"] for r in rows.groupBy("_fold").count().collect()}
-    total = sum(sizes.values())
-
-    def fit(fold: int) -> LogisticRegressionModel:
-        return LogisticRegression(
-            featuresCol="_features", labelCol=label, maxIter=500, elasticNetParam=0.0,
-            regParam=1.0 / (c * max(total - sizes[fold], 1)), standardization=False,
-            probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_class",
-        ).fit(rows.where(F.col("_fold") != fold).select("_features", label))
-
-    folds = sorted(sizes)
-    models = fit_all(rows.sparkSession, [partial(fit, fold) for fold in folds])
+    ready = standardise(df, features).withColumn("_features", feature_vector(features)).drop(*[f"{f}_std" for f in features])
+    rows = stage(stratified_folds(ready, key, label, k), "folds")
+    folds = range(k)
+    models = fit_all(rows.sparkSession, [partial(fit_churn, rows.where(F.col("_fold") != fold), label, c) for fold in folds])
     risk = F.bround(F.get(vector_to_array("_probability"), F.lit(1)), 3)
     parts = [
         model.transform(rows.where(F.col("_fold") == fold)).withColumn(into, risk)
@@ -79,6 +86,17 @@ def oof_probability(
     return reduce(DataFrame.unionByName, parts).drop("_features", "_fold", "_probability", "_raw", "_class")
 
 
+def churn_quality(base: DataFrame, key: str = "customer_id", days: int = 90, features: Sequence[str] = CHURN_FEATURES) -> DataFrame:
+    """Name and value: the AUC of the out-of-fold scores, then intercept and weights (per standard
+    deviation) of the final model, fitted on all rows."""
+    scored = stage(churn_scores(base, key, days), "churn-scored")
+    ready = standardise(scored.drop("churn_risk_score", "churn_risk"), features).withColumn("_features", feature_vector(features))
+    final = fit_churn(stage(ready.select("_features", "churned"), "churn-final"))
+    weights = zip(features, final.coefficients.toArray().tolist(), strict=True)
+    rows = [("auc_out_of_fold", ranking_quality(scored)), ("intercept", float(final.intercept)), *[(f"weight_{f}", w) for f, w in weights]]
+    return base.sparkSession.createDataFrame(rows, "name string, value double")
+
+
 def churn_scores(base: DataFrame, key: str = "customer_id", days: int = 90) -> DataFrame:
     """Label, out-of-fold risk and risk tier per customer."""
     labelled = base.withColumn("churned", churn_label(F.col("recency"), days))

@@ -3,6 +3,7 @@ the standardised features."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,10 @@ from tillwise.sources import star
 from tillwise.staging import stage
 
 
+#: Parameters at which the likelihoods are compared with SQL: r, alpha, a, b and p, q, v.
+PURCHASE_AT, SPEND_AT = (0.8, 6.5, 0.7, 2.5), (3.5, 4.25, 150000.0)
+
+
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.rfm_base(star.invoices(spark, sf_dir), one_row_per_invoice=True)
 
@@ -46,6 +51,29 @@ def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def churn_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers per fold and class; the shares differ by one customer at most."""
+    labelled = _base(spark, sf_dir).select("customer_id", churn.churn_label(F.col("recency")).alias("churned"))
+    return churn.stratified_folds(labelled, "customer_id", "churned", 5, into="fold").groupBy("fold", "churned").agg(F.count("*").alias("n"))
+
+
+@query
+def churn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.churn_quality(_base(spark, sf_dir))
+
+
+@query
+def clv_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean log-likelihoods of the purchase and the spend model at fixed parameters."""
+    summary = stage(customers.repeat_summary(star.invoices(spark, sf_dir)), "repeat-summary")
+    counts = summary.groupBy("frequency", "recency", "T").agg(F.count("*").alias("n"))
+    spend = summary.where("frequency > 0 AND monetary_value > 0").groupBy("frequency", "monetary_value").agg(F.count("*").alias("n"))
+    bought = clv.sum_likelihoods(counts, clv.bgnbd_likelihood, np.array([PURCHASE_AT]))[0]
+    spent = clv.sum_likelihoods(spend, clv.gamma_gamma_likelihood, np.array([SPEND_AT]))[0]
+    return spark.createDataFrame([(float(bought), float(spent))], "purchase double, spend double")
+
+
 @query
 def clv_bgnbd(spark: SparkSession, sf_dir: str) -> DataFrame:
     bills = stage(star.invoices(spark, sf_dir), "invoices")

@@ -13,9 +13,12 @@ from tillwise.config import (
 )
 from tillwise.operators.churn import CHURN_FEATURES
 from tillwise.operators.forecast import DEPTH, HORIZON, SEED_LAGS
+from tillwise.plans.model_queries import PURCHASE_AT, SPEND_AT
 from tillwise.plans.queries import HIGH, LOW, TOP_N, WEIGHTS
 from tillwise.sources.star import CALENDAR_AHEAD, STOCK_DAYS
 
+(_R, _ALPHA, _A, _B), (_P, _Q, _V) = ([f"{v}::DOUBLE" for v in at] for at in (PURCHASE_AT, SPEND_AT))
+
 
 def _money(amount: str) -> str:
     return f"(CAST(coalesce(sum(CAST(round_even(({amount}) * 10000, 0) AS BIGINT)), 0) AS DOUBLE) / 10000)"
@@ -487,6 +490,25 @@ SELECT customer_id, count(*) - 1 AS frequency,
   round_even(coalesce((sum(spend) - arg_min(spend, w)) / nullif(count(*) - 1, 0), 0), 6) AS monetary_value
 FROM (SELECT customer_id, CAST(date_trunc('week', invoice_date) AS DATE) AS w, {_money('revenue')} AS spend FROM bill GROUP BY 1, 2)
 GROUP BY customer_id""",
+    "clv_likelihood": f"""
+SELECT * FROM (WITH x AS (
+  SELECT CAST(count(*) - 1 AS DOUBLE) AS x, CAST(date_diff('day', min(w), max(w)) AS DOUBLE) / 7 AS recent,
+    CAST(date_diff('day', min(w), CAST(date_trunc('week', (SELECT max(invoice_date) FROM bill) + INTERVAL 7 DAY) AS DATE)) AS DOUBLE) / 7 AS age,
+    coalesce((sum(spend) - arg_min(spend, w)) / nullif(count(*) - 1, 0), 0) AS m
+  FROM (SELECT customer_id, CAST(date_trunc('week', invoice_date) AS DATE) AS w, {_money('revenue')} AS spend FROM bill GROUP BY 1, 2)
+  GROUP BY customer_id),
+bought AS (
+  SELECT avg(lgamma({_R} + x) - lgamma({_R}) + {_R} * ln({_ALPHA}) + lgamma({_A} + {_B}) + lgamma({_B} + x) - lgamma({_B}) - lgamma({_A} + {_B} + x)
+    + ln(power({_ALPHA} + age, -({_R} + x)) + CASE WHEN x > 0 THEN {_A} / ({_B} + greatest(x, 1) - 1) * power({_ALPHA} + recent, -({_R} + x)) ELSE 0 END)) AS v
+  FROM x),
+spent AS (
+  SELECT avg(lgamma({_P} * x + {_Q}) - lgamma({_P} * x) - lgamma({_Q}) + {_Q} * ln({_V}) + ({_P} * x - 1) * ln(m) + {_P} * x * ln(x)
+    - ({_P} * x + {_Q}) * ln(x * m + {_V})) AS v
+  FROM x WHERE x > 0 AND m > 0)
+SELECT round_even((SELECT v FROM bought), 6) AS purchase, round_even((SELECT v FROM spent), 6) AS spend)""",
+    "churn_folds": """
+SELECT fold, churned, count(*) AS n FROM (SELECT CAST((row_number() OVER (ORDER BY churned, customer_id) - 1) % 5 AS INT) AS fold, churned FROM (
+  SELECT customer_id, CAST(recency > 90 AS INTEGER) AS churned FROM base)) GROUP BY ALL""",
     "clv_linear": f"""
 SELECT customer_id, monetary AS clv_historical, clv_projected_12m, 'linear_projection' AS clv_model_type,
   {_r('weekly_purchase_rate', 'lifespan_weeks')} FROM person""",
