@@ -7,6 +7,7 @@ import sys
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tillwise.config import FEATURES, BoostConfig
@@ -338,13 +339,22 @@ def test_clusters_and_silhouette(spark):
 
 def test_silhouette_equals_the_definition(spark):
     rng = np.random.default_rng(1)
-    points, centres = rng.random((60, 2)), np.array([[0.2, 0.2], [0.8, 0.8], [0.2, 0.9]])
+    points, centres = rng.random((60, 2)), np.array([[0.2, 0.2], [0.8, 0.8], [0.2, 0.9], [5.0, 5.0]])
+    points[59] = [4.9, 5.0]  # a cluster of one row
     labels = np.argmin(((points[:, None] - centres[None]) ** 2).sum(2), axis=1)
     distance = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
     widths = []
     for i, mine in enumerate(labels):
         own = (labels == mine) & (np.arange(60) != i)
+        if not own.any():
+            widths.append(0.0)
+            continue
         near = min(distance[i, labels == k].mean() for k in set(labels) - {mine})
         within = distance[i, own].mean()
         widths.append((near - within) / max(near, within))
-    assert clusters.sample_silhouettes(points, [centres], spark)[0] == pytest.approx(np.mean(widths))
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(points.tolist())], "id int, x array<double>").select("id", array_to_vector("x").alias("_v"))
+    (width, error), = clusters.silhouettes(rows, "id", [centres])
+    assert width == pytest.approx(np.mean(widths)) and error == 0
+    # Ten rows for each cluster: within the error, and all rows count.
+    (near, off), = clusters.silhouettes(rows, "id", [centres], most=10)
+    assert 0 < off < 0.4 and abs(near - width) <= off
