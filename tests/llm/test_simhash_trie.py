@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import AWKWARD, prose
 from tillwise.llm import simhash_trie as st
@@ -89,65 +90,34 @@ def test_links_of_dense_clusters(spark, monkeypatch, trie_rows):
     assert sorted(map(sorted, want.values())) == sorted(map(sorted, have.values()))
 
 
-def test_one_document_stays(frame):
-    text = prose(1, 200)
-    docs = frame([(5, text), (3, text), (9, text + " end"), (7, prose(2, 90)), (7, prose(2, 90)), (11, None), (12, "")])
-    out = st.keep_one(docs)
-    assert sorted(r.doc_id for r in out.collect()) == [3, 7, 11] and out.columns == docs.columns
-
-
-def slow_shingles(text):
-    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
-    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)] if words else [])
-
-
-def near_roots(rows):
-    """Least (doc_id, text) of each group by brute-force Jaccard, and the number of pairs alike."""
-    sets = [slow_shingles(t) for _, t in rows]
-    root, pairs, holds = list(range(len(rows))), 0, {}
-    for i, s in enumerate(sets):
-        for g in s or [()]:
-            holds.setdefault(g, []).append(i)
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i, j in {(i, j) for held in holds.values() for i in held for j in held if j < i}:
-        if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
-            pairs += sets[i] != sets[j]
-            root[find(i)] = find(j)
-    least = {}
-    for i, (d, t) in enumerate(rows):
-        least.setdefault(find(i), []).append((d is None, d or 0, hash_of(t), d, t))
-    return sorted((min(g)[3] is None, min(g)[3], min(g)[4]) for g in least.values()), pairs
-
-
 def hash_of(text):
     return "" if text is None else hashlib.md5(text.encode()).hexdigest()
 
 
-def test_near_duplicates_of_five_words_by_brute_force(frame):
-    base = prose(1, 200).split()
-    rows = [(i, prose(i, 60)) for i in range(20, 30)]
-    for n in range(40):  # 0 to 39 words changed, most sets beyond three bits
-        draw, changed = random.Random(n), list(base)
-        for at in draw.sample(range(200), n // 4):
-            changed[at] = f"w{n}"
-        rows.append((100 + n, " ".join(changed)))
-    rows += [(300, "one two"), (301, "ONE  two"), (302, None), (303, ""), (7, "same id one two three four"), (7, "quite another text"), (None, "no id"), (None, base[0])]
-    out = frame(rows)
-    want, pairs = near_roots(rows)
-    prints = {t: st.fingerprint(t, 5) for _, t in rows}
-    sets = {t: slow_shingles(t) for _, t in rows}
-    far = sum(5 * len(sets[s] & sets[t]) >= 4 * len(sets[s] | sets[t]) and (prints[s] ^ prints[t]).bit_count() > 3 for s in prints for t in prints if sets[s] != sets[t])
-    got = st.keep_one(out)
-    assert got.columns == out.columns and pairs > 20 and far > 10
-    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got.collect()) == sorted((n, d or 0, t or "") for n, d, t in want)
-
-
-def test_near_duplicates_of_a_table(spark):
-    docs = documents(spark, "/root/testdata/sf0.01")
-    want, pairs = near_roots([(r.doc_id, r.text) for r in docs.collect()])
-    assert pairs and sorted(r.doc_id for r in st.keep_one(docs).collect()) == sorted(d for _, d, _ in want)
+def one_of_each(rows):
+    """Least (doc_id, MD5) of each component by brute force."""
+    root, groups = slow_components([slow_print(t) for _, t in rows]), {}
+    for (d, t), r in zip(rows, root, strict=True):
+        groups.setdefault(r, []).append((d is None, d or 0, hash_of(t)))
+    return sorted(min(g) for g in groups.values())
+
+
+def test_one_document_stays(frame):
+    text = prose(1, 200)
+    rows = [(5, text), (3, text), (9, text + " end"), (7, prose(2, 90)), (7, prose(2, 90)), (11, None), (12, ""), (None, "no id"), (None, text)]
+    rows += [(20 + n, prose(4, 300) + f" w{n}") for n in range(12)] + [(40, "one two"), (40, "two one"), (41, prose(6, 40_000))]
+    docs = frame(rows)
+    for extra in ((), ("own_mark", "KEPT_ID", "kept_mark", "found_spots", "slot", "__mark", "__spots")):
+        for name in extra:
+            docs = docs.withColumn(name, F.lit(name))
+        out = st.keep_one(docs)
+        got = out.collect()
+        assert out.columns == docs.columns and all(r[name] == name for r in got for name in extra)
+        assert sorted((r.doc_id is None, r.doc_id or 0, hash_of(r.text)) for r in got) == one_of_each(rows)
+    assert st.keep_one(docs.limit(0)).count() == 0
+
+
+def test_one_document_stays_of_a_table(spark):
+    docs = documents(spark, "/root/testdata/sf0.001")
+    want = one_of_each([(r.doc_id, r.text) for r in docs.collect()])
+    assert sorted(r.doc_id for r in st.keep_one(docs).collect()) == [d for _, d, _ in want]

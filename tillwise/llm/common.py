@@ -22,6 +22,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A helper column's name that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """Every fifth document by the CRC of its id's digits (a null id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
@@ -126,7 +134,7 @@ def split_by(
             hit = (words[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(hit == want))
 
-    slotted = df.withColumn("__slot", F.pmod(F.xxhash64(*columns), F.lit(BITMAP_BITS)))
+    slotted = df.withColumn(free(df, "slot"), F.pmod(F.xxhash64(*columns), F.lit(BITMAP_BITS)))
     further, schema = rest or (lambda b: b, df.schema)
     return (
         slotted.mapInArrow(tidy(lambda b: test(b, True)), df.schema),

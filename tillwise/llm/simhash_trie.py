@@ -14,10 +14,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillwise.llm.common import tidy
+from tillwise.llm.common import free, tidy
 from tillwise.staging import stage
 
 BUDGET = 3
@@ -28,15 +29,6 @@ BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TRIE_ROWS = 4096
 SPLIT_BITS = 6
 
-#: Near-duplicates of the pipeline: shingles of five words, Jaccard similarity of 4/5 at least.
-NEAR_WORDS, SIMILARITY = 5, (4, 5)
-#: Two sets of similarity 0.8 lie about 10 of 64 bits apart, beyond any budget that tries can
-#: serve; all but 5 in ten million such pairs have one of 48 bands of 6 minima in common.
-BANDS, BAND_ROWS = 48, 6
-_DRAW = np.random.default_rng(8)
-_SALT, _ODD = (_DRAW.integers(0, 1 << 64, BANDS * BAND_ROWS, dtype=np.uint64) for _ in range(2))
-_ODD |= np.uint64(1)
-
 _LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 
 
@@ -71,15 +63,17 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return simhash(shingle_hashes(text, words))
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id and its fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, words: int = WORDS, *further: Column) -> DataFrame:
+    """doc_id, ``further`` columns and the fingerprint ``fp`` as a signed 64-bit number."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+            values = np.array([fingerprint(t, words) for t in batch.column(0).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(values.view(np.int64))], names=[*batch.schema.names[1:], "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(make), "doc_id long, fp long")
+    rows = docs.select("text", F.col("doc_id").cast("long"), *further)
+    schema = T.StructType([*rows.schema.fields[1:], T.StructField("fp", T.LongType())])
+    return rows.mapInArrow(tidy(make), schema)
 
 
 def popcount(x: np.ndarray) -> np.ndarray:
@@ -251,6 +245,12 @@ def components(edges: DataFrame) -> DataFrame:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def rooted(classes: DataFrame) -> DataFrame:
+    """The rows of ``classes`` (one per ``fp``) with the ``root`` that linked fingerprints share."""
+    linked = components(links(classes.select("fp")))
+    return stage(classes.join(linked, F.col("fp") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for every document.
 
@@ -259,136 +259,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     kept; a null doc_id names a component only where it has no other.
     """
     prints = stage(fingerprints(docs, words), "simhash-prints")
-    classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "simhash-classes")
-    linked = components(links(classes.select("fp")))
-    roots = classes.join(linked, classes["fp"] == linked["node"], "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root"))
-    roots = stage(roots, "simhash-roots")
+    roots = rooted(stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "simhash-classes"))
     named = roots.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     by_print = roots.join(named, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band of minima: equal where two sets have the same BAND_ROWS minima."""
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), 1 << 10):
-        part = hashes[at : at + (1 << 10), None]
-        np.minimum(least, ((part ^ _SALT) * _ODD).min(axis=0), out=least)
-    return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(least.reshape(BANDS, BAND_ROWS))], dtype=np.uint64)
-
-
-def _mark() -> F.Column:
-    return F.coalesce(F.md5("text"), F.lit(""))
-
-
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, mark (of the text), id and size of its set of shingles, SimHash and band keys."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, sizes, prints, keys = [], [], [], []
-            for text in batch.column(2).to_pylist():
-                hashes = shingle_hashes(text, words)
-                known = np.unique(hashes)
-                ids.append(xxhash.xxh3_128_hexdigest(known.tobytes()))
-                sizes.append(len(known))
-                prints.append(simhash(hashes))
-                keys.append(bands(known).view(np.int64))
-            columns = [batch.column(0), batch.column(1), pa.array(ids), pa.array(sizes, pa.int64()), pa.array(np.array(prints, dtype=np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "id", "n", "fp", "keys"])
-
-    rows = docs.select(F.col("doc_id").cast("long"), _mark().alias("mark"), "text")
-    return rows.mapInArrow(tidy(make), "doc_id long, mark string, id string, n long, fp long, keys array<long>")
-
-
-def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """id and its set of shingle hashes."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
-
-    asked = classes.join(ids.distinct(), "id").select("id", F.col("first.doc_id").alias("__doc"), F.col("first.mark").alias("__mark"))
-    texts = docs.select(F.col("doc_id").cast("long"), _mark().alias("mark"), "text").join(
-        asked, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("mark") == F.col("__mark"))
-    )
-    return stage(texts.groupBy("id").agg(F.min("text").alias("text")).mapInArrow(tidy(make), "id string, s array<long>"), "near-sets")
-
-
-def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets whose exact Jaccard similarity is SIMILARITY at least."""
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    over, under = SIMILARITY
-    return both.filter(under * common >= over * (F.size("x") + F.size("y") - common)).select("a", "b")
-
-
-def _may_be_alike(n: str, c: str, m: str, d: str) -> F.Column:
-    """Whether sets of n and m shingles, of which c and d stand in another set too, can be similar."""
-    over, under = SIMILARITY
-    return (over + under) * F.least(F.col(c), F.col(d)) >= over * (F.col(n) + F.col(m))
-
-
-def near_sets(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
-    """id, root and first (doc_id and mark) of each different set of word shingles.
-
-    Roots are equal where sets are connected by pairs of Jaccard similarity 0.8 or more. Links
-    of the SimHash tries, and of each band's sets to the one with the fewest shingles of its own,
-    are checked first; then all pairs that share a band and are not connected yet. A pair has no
-    more shingles in common than either has that stand in another set too; that bound spares
-    the check of most sets beside a large group of copies, and no pair that is alike.
-    """
-    rows = stage(shingle_sets(docs, words), "near-rows")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    classes = stage(rows.groupBy("id").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("keys").alias("keys")), "near-classes")
-
-    dealt = stage(classes.filter("n > 0").select("id", "n", F.explode("keys").alias("key")), "near-bands")
-    several = stage(dealt.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key"), "near-keys")
-    dealt = stage(dealt.join(several, "key"), "near-shared")
-    prints = stage(classes.filter("n > 0").groupBy("fp").agg(F.min("id").alias("one")), "near-prints")
-    close = links(prints.select("fp"))
-    close = close.join(prints.select(F.col("fp").alias("a"), F.col("one").alias("p")), "a").join(prints.select(F.col("fp").alias("b"), F.col("one").alias("q")), "b")
-    close = stage(close.select(F.col("p").alias("a"), F.col("q").alias("b")), "near-close")
-
-    sets = sets_of(dealt.select("id").unionByName(close.select(F.explode(F.array("a", "b")).alias("id"))), classes, docs, words)
-    own = sets.select("id", F.explode("s").alias("h")).groupBy("h").agg(F.count("*").alias("on"), F.min("id").alias("id")).filter("on = 1")
-    own = stage(own.groupBy("id").agg(F.count("*").alias("own")), "near-own")
-    dealt = stage(dealt.join(own, "id", "left").select("id", "n", "key", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c")), "near-dealt")
-    hubs = stage(dealt.groupBy("key").agg(F.min(F.struct((F.col("n") - F.col("c")).alias("own"), "id", "n", "c")).alias("hub")), "near-hubs")
-    starred = dealt.join(hubs, "key").filter((F.col("id") != F.col("hub.id")) & _may_be_alike("n", "c", "hub.n", "hub.c"))
-    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    starred = starred.select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
-    first = stage(starred.unionByName(close).select(*ordered).distinct(), "near-first")
-    found = stage(alike(first, sets), "near-links")
-    roots = components(found)
-
-    # Pairs that share a band and have different roots, by pairs of roots in the band.
-    rooted = dealt.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    over, under = SIMILARITY
-    rooted = stage(rooted.filter(under * F.col("c") >= over * F.col("n")), "near-rooted")
-    held = stage(rooted.groupBy("key", "root").agg(F.min("n").alias("n"), F.max("c").alias("c")), "near-held")
-    left, right = (held.select("key", *[F.col(x).alias(x + i) for x in ("root", "n", "c")]) for i in "12")
-    meets = left.join(right, "key").filter((F.col("root1") < F.col("root2")) & _may_be_alike("n1", "c1", "n2", "c2"))
-    meets = stage(meets.select("key", "root1", "root2"), "near-meets")
-    side = lambda i, x: rooted.select("key", F.col("root").alias("root" + i), F.col("id").alias(x), F.col("n").alias("n" + i), F.col("c").alias("c" + i))
-    rest = meets.join(side("1", "a"), ["key", "root1"]).join(side("2", "b"), ["key", "root2"]).filter(_may_be_alike("n1", "c1", "n2", "c2"))
-    rest = stage(rest.select(*ordered).distinct().join(first, ["a", "b"], "left_anti"), "near-rest")
-    more = stage(alike(rest, sets), "near-more")
-    roots = components(found.unionByName(more)).withColumnRenamed("node", "id")
-    return classes.select("id", "first").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-
-
-def keep_one(docs: DataFrame, words: int = NEAR_WORDS) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """The documents with one of each group of near-duplicates kept: its least doc_id.
 
-    Documents link at a Jaccard similarity of 0.8 or more of their sets of word shingles (ASCII
-    letters in lower case), which is checked exactly; texts without words are alike. Of repeated rows
-    one stays; rows of one doc_id with texts that are not alike stay; a null doc_id is kept only
-    where its group has no other.
+    Groups are those of ``near_duplicates``: fingerprints linked at three or fewer differing bits,
+    texts without words among them. Of repeated rows one stays, of rows of one doc_id the one whose
+    text has the least MD5; a null doc_id is kept only where its group has no other. A very long text
+    counts as a whole; an empty table stays empty; further columns of any name stay.
     """
-    kept = near_sets(docs, words).groupBy("root").agg(F.min("first").alias("first"))
-    kept = stage(kept.select(F.col("first.doc_id").alias("__kept"), F.col("first.mark").alias("__of")), "near-kept")
-    marked = docs.withColumn("__mark", _mark())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")) & (F.col("__mark") == F.col("__of"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__mark"]).drop("__mark")
+    mark = F.coalesce(F.md5("text"), F.lit(""))
+    prints = stage(fingerprints(docs, words, mark.alias("mark")), "simhash-prints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    roots = rooted(stage(prints.groupBy("fp").agg(F.min(order).alias("first")), "simhash-classes"))
+    own, doc, text = (free(docs, c) for c in ("own_mark", "kept_id", "kept_mark"))
+    kept = roots.groupBy("root").agg(F.min("first").alias("first"))
+    kept = stage(kept.select(F.col("first.doc_id").alias(doc), F.col("first.mark").alias(text)), "simhash-kept")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(text))
+    return docs.withColumn(own, mark).join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import bitmap, encoded, gear_table, mixed, split_by, steps, tidy
+from tillwise.llm.common import bitmap, encoded, free, gear_table, mixed, split_by, steps, tidy
 from tillwise.staging import stage
 
 LENGTH = 200
@@ -355,15 +355,16 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents with repeated stretches (column ``spots``), and those without any."""
+    """Documents with repeated stretches (in a last column), and those without any."""
     found = stretches(docs).groupBy("doc_id", "check").agg(F.collect_set(F.struct("start", "end")).alias("spots"))
     found = stage(found, "suffix-stretches")
-    base = docs.withColumn("__check", F.crc32(F.coalesce("text", F.lit("")))).withColumn("__key", F.col("doc_id").cast("long"))
-    names = found.select(F.col("doc_id").alias("__doc"), F.col("check").alias("__c"), F.col("spots").alias("__spots"))
-    some, none = split_by(base, bitmap(found, "doc_id", "check"), "__key", "__check")
-    on = F.col("__key").eqNullSafe(F.col("__doc")) & (F.col("__check") == F.col("__c"))
-    drop = ("__check", "__key", "__doc", "__c")
-    return some.join(names, on, "left").drop(*drop), none.drop(*drop)
+    check, key, doc, of, spots = (free(docs, c) for c in ("check_sum", "long_id", "found_id", "found_sum", "found_spots"))
+    base = docs.withColumn(check, F.crc32(F.coalesce("text", F.lit("")))).withColumn(key, F.col("doc_id").cast("long"))
+    names = found.select(F.col("doc_id").alias(doc), F.col("check").alias(of), F.col("spots").alias(spots))
+    some, none = split_by(base, bitmap(found, "doc_id", "check"), key, check)
+    on = F.col(key).eqNullSafe(F.col(doc)) & (F.col(check) == F.col(of))
+    both = some.join(names, on, "left")
+    return both.select(*[both[c] for c in docs.columns], both[spots]), none.drop(check, key)
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -388,7 +389,7 @@ def removals(docs: DataFrame) -> DataFrame:
             names = [f.split()[0] for f in schema.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    empty = F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("__spots")
+    empty = F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("found_spots")
     return some.mapInArrow(tidy(apply), schema).unionByName(none.select("*", empty).mapInArrow(tidy(apply), schema))
 
 
@@ -418,4 +419,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             stays = pa.array([k is None or bool(k.strip()) for k in kept])
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(stays)
 
-    return some.select(*names, "__spots").mapInArrow(tidy(apply), docs.schema).unionByName(none.select(*names))
+    return some.mapInArrow(tidy(apply), docs.schema).unionByName(none.select(*names))
