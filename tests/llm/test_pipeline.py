@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm import test_simhash_trie, test_suffix_dedup
 from tests.llm.conftest import prose
@@ -31,7 +33,7 @@ def test_stages_and_run(spark, frame, tmp_path):
     assert texts == {r[0]: r[1].replace("\nread more here", "") for r in rows if r[0] < 40}
 
     third = near(spark, second, str(tmp_path))
-    want = {c for _, d, _, c in test_simhash_trie.expected(list(texts.items()))}
+    want = {d for _, d, _ in test_simhash_trie.one_of_each(list(texts.items()))}
     kept = {r.doc_id: r.text for r in third.collect()}
     assert set(kept) == want and 20 not in kept and kept.items() <= texts.items()
 
@@ -47,6 +49,15 @@ def test_stages_and_run(spark, frame, tmp_path):
     check(final, whole.collect(), 0.5)
 
 
+def test_stages_take_any_column_names(spark, frame, tmp_path):
+    docs = frame([(i, prose(i, 80, 40), "aa", "s") for i in range(8)])
+    for name in ("__spots", "__mark", "__row", "__dropped", "own_mark", "kept_id", "found_spots", "check_sum"):
+        docs = docs.withColumn(name, F.lit(name))
+    for _, function in corpus_pipeline.STAGES[1:4]:
+        out = function(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and {r["__mark"] for r in out.collect()} == {"__mark"}
+
+
 def test_empty_table(spark, frame, tmp_path):
     frame([]).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
