@@ -271,10 +271,15 @@ def test_scores_need_no_package_on_the_executors():
     assert done.stdout.strip() == f"{math.lgamma(5):.6f}", done.stderr
 
 
-def test_search_returns_its_best_trial(signal):
+def test_search_returns_its_best_trial(signal, spark, tmp_path):
     table, best = demand.random_search(signal, INPUTS, trials=2, base=BoostConfig(rounds=3))
     rows = table.orderBy("val_mae").collect()
     assert len(rows) == 2 and rows[0].depth == best["depth"] and rows[0].step == best["step"]
+    place = str(tmp_path / "tuned")
+    assert demand.tuned_config(spark, place, CONFIG) == CONFIG
+    demand.keep_tuned(spark, place, best)
+    tuned = demand.tuned_config(spark, place, CONFIG)
+    assert (tuned.depth, tuned.step, tuned.min_rows, tuned.rounds) == (best["depth"], best["step"], best["min_rows"], CONFIG.rounds)
 
 
 @pytest.fixture(scope="module")

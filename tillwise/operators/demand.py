@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -16,7 +16,7 @@ from tillwise.config import FEATURES, BoostConfig
 from tillwise.operators.boosting import QuantileBoost, bin_rows, fit_quantile, load_quantile, save_quantile
 from tillwise.operators.forecast import ArrayScorer
 from tillwise.operators.parallel import fit_all
-from tillwise.sources.tables import load_params, save_models
+from tillwise.sources.tables import load_params, save_models, save_params
 
 
 def feature_array(features: Sequence[str] = FEATURES) -> Column:
@@ -116,6 +116,19 @@ def draw_config(rng: random.Random, base: BoostConfig) -> BoostConfig:
     )
 
 
+TUNED = ("depth", "step", "column_fraction", "row_fraction", "min_rows")
+
+
+def keep_tuned(spark: SparkSession, path: str, best: Mapping[str, object]) -> None:
+    """Store the best parameters of a search for later fits."""
+    save_params(spark, path, {name: best[name] for name in TUNED})
+
+
+def tuned_config(spark: SparkSession, path: str, base: BoostConfig = BoostConfig()) -> BoostConfig:
+    """``base`` with the parameters kept at ``path``, or as it is where none were kept."""
+    return replace(base, **load_params(spark, path, {}))
+
+
 def random_search(
     df: DataFrame, features: Sequence[str] = FEATURES, label: str = "quantity", trials: int = 50,
     base: BoostConfig = BoostConfig(rounds=500), seed: int = 42,
@@ -133,13 +146,12 @@ def random_search(
         error = mean_error(point_scorer(model, features)(held_out), label)
         rows.append((number, config.depth, config.step, config.column_fraction, config.row_fraction,
                      config.min_rows, len(model.trees), error))
-    names = ("depth", "step", "column_fraction", "row_fraction", "min_rows")
     best = min(rows, key=lambda r: r[-1])
     table = df.sparkSession.createDataFrame(
         rows, "trial int, depth int, step double, column_fraction double, row_fraction double, "
         "min_rows int, trees int, val_mae double",
     )
-    return table, dict(zip(names, best[1:6]))
+    return table, dict(zip(TUNED, best[1:6], strict=True))
 
 
 def gain_importance(model: QuantileBoost, df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:

@@ -3,21 +3,30 @@ the standardised features."""
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import replace
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
+from tillwise.config import BoostConfig
 from tillwise.operators import churn, clusters, clv, customers, demand, forecast
 from tillwise.operators.metrics import regression_metrics, temporal_split
 from tillwise.plans import reports
 from tillwise.plans.queries import SPLIT, Panel, query
 from tillwise.sources import star
-from tillwise.staging import stage
-
+from tillwise.staging import scratch_dir, stage
 
 #: Parameters at which the likelihoods are compared with SQL: r, alpha, a, b and p, q, v.
 PURCHASE_AT, SPEND_AT = (0.8, 6.5, 0.7, 2.5), (3.5, 4.25, 150000.0)
 
+#: Rounds of the registered fits, with a step to match, and further rounds of the bounds; the rest is as the
+#: library has it, 50 rounds of patience too. A round takes a job per tree level, so the default
+#: of 1,000 rounds takes many minutes whatever the size of the table (README).
+BUDGET, EXTRA_ROUNDS = BoostConfig(rounds=40, step=0.25), 20
+
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.rfm_base(star.invoices(spark, sf_dir), one_row_per_invoice=True)
@@ -27,8 +36,15 @@ def _training(p: Panel) -> DataFrame:
     return stage(temporal_split(p.features, config=SPLIT), "training")
 
 
-def _models(rows: DataFrame) -> demand.DemandModels:
-    return demand.fit_models(rows)
+def _models(spark: SparkSession, sf_dir: str, rows: DataFrame) -> demand.DemandModels:
+    """The three models of a data folder, fitted once in a session and kept as tables."""
+    place = f"{scratch_dir(spark)}/demand-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    try:
+        return demand.load_demand_models(spark, place)
+    except (AnalysisException, KeyError):  # not there yet
+        models = demand.fit_models(rows, config=BUDGET, extra_rounds=EXTRA_ROUNDS)
+        demand.save_demand_models(spark, place, models)
+        return models
 
 
 @query
@@ -117,7 +133,7 @@ def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error measures of a fitted point model on the held-out splits."""
     rows = _training(Panel(spark, sf_dir))
-    model = demand.fit_point(rows)
+    model = demand.fit_point(rows, config=BUDGET)
     return regression_metrics(demand.point_scorer(model)(rows.where("split <> 'Train'")))
 
 
@@ -125,7 +141,7 @@ def demand_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error measures and interval coverage of the three fitted models."""
     rows = _training(Panel(spark, sf_dir))
-    return regression_metrics(_models(rows).score(rows.where("split <> 'Train'")))
+    return regression_metrics(_models(spark, sf_dir, rows).score(rows.where("split <> 'Train'")))
 
 
 @query
@@ -133,14 +149,14 @@ def model_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The recursive forecast with the fitted models."""
     p = Panel(spark, sf_dir)
     rows = _training(p)
-    return forecast.forecast(rows, p.days, p.calendar, _models(rows).score)
+    return forecast.forecast(rows, p.days, p.calendar, _models(spark, sf_dir, rows))
 
 
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Permutation importance on held-out rows next to the trees' gain."""
     rows = _training(Panel(spark, sf_dir))
-    model = demand.fit_point(rows)
+    model = _models(spark, sf_dir, rows).point
     held_out = rows.where("split = 'Test'")
     moved = demand.permutation_importance(model, held_out, ["product_id", "store_id", "week"])
     gain = demand.gain_importance(model, rows).withColumnRenamed("importance", "gain")
@@ -150,7 +166,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def model_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _training(Panel(spark, sf_dir))
-    model = demand.fit_point(rows)
+    model = _models(spark, sf_dir, rows).point
     metrics = regression_metrics(demand.point_scorer(model)(rows.where("split <> 'Train'")))
     told = {"best_round": len(model.trees), "fitted_rounds": len(model.losses), "validation_mae": 2 * min(model.losses)}
     return reports.model_card(stage(metrics, "metrics"), demand.gain_importance(model, rows), training=told)
@@ -159,5 +175,5 @@ def model_card(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _training(Panel(spark, sf_dir))
-    table, _ = demand.random_search(rows)
+    table, _ = demand.random_search(rows, trials=3, base=replace(BUDGET, rounds=6))
     return table
