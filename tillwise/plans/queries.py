@@ -576,7 +576,7 @@ def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     cover = stage(p.inventory, "cover")
     ahead = p.valued_forecast
     weekly = stage(rep.weekly_revenue(p.daily, 52), "weekly-revenue")
-    scored = p.scorer(temporal_split(p.features, config=SPLIT).where("split <> 'Train'"))
+    scored = p.scorer.score(temporal_split(p.features, config=SPLIT).where("split <> 'Train'"))
     grains = rep.revenue_grains(p.daily)
     return rep.report_payload({
         "total": (grains.where("grain = 'total'"), ["revenue"]),
@@ -599,7 +599,7 @@ def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customers": (rep.customer_kpis(people), ["customers", "avg_clv", "median_clv", "high_risk", "revenue_at_risk",
                                                    "champions", "clv_model"]),
         "segments": (rep.segment_board(people), ["segment", "customers", "revenue", "colour"], ["segment"]),
-        "value_by_risk": (rep.retention_quadrant(bounded_sample(people, ["customer_id"], 600)),
+        "value_by_risk": (bounded_sample(rep.retention_quadrant(people), ["customer_id"], 600),
                           ["segment", "churn_risk_score", "clv_projected_12m"], ["customer_id"]),
     })
 
