@@ -1,12 +1,14 @@
 """Fitted models: recovery of known parameters, invariants and plain recomputations."""
 
 import math
+import pickle
 import subprocess
 import sys
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import RDD
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -188,6 +190,29 @@ def test_rounds_equal_a_plain_loop(noisy, alpha, monkeypatch):
     assert np.allclose(model.score(x), plain_boost(*inputs, len(model.trees))[0]) and model.trees
 
 
+def test_the_driver_gets_splits_and_leaf_values_only(noisy, monkeypatch):
+    """What a fit sends to the driver does not grow with its blocks, and the model is that of one block."""
+    monkeypatch.setattr(boosting, "POINTS", 100_000)  # exact quantiles
+    config = BoostConfig(rounds=3, depth=3, step=0.3, min_rows=30)
+    one = boosting.fit_quantile(noisy, 0.5, config)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 500)
+    data = boosting.bin_rows(noisy)
+    assert data.blocks.getNumPartitions() > 4
+    sent, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    many = boosting.fit_quantile(data, 0.5, config)
+    assert sent and max(len(pickle.dumps(got)) for got in sent) < 2_000
+    x = np.random.default_rng(4).random((500, 2))
+    assert many.losses == one.losses and (many.score(x) == one.score(x)).all()
+
+
+def test_blocks_without_training_rows(spark):
+    """A batch of held-out rows only, as tables sorted by week have it."""
+    rows = spark.range(0, 600, 1, 2).select(F.array(F.col("id") % 7.0).alias("features"), (F.col("id") % 7).cast("double").alias("label"), (F.col("id") >= 300).alias("held_out"))
+    model = boosting.fit_quantile(rows, 0.5, BoostConfig(rounds=2, depth=2, step=1.0, row_fraction=1.0))
+    assert len(model.losses) == 2 and model.trees
+
+
 def test_patience_ends_the_fit_and_keeps_the_best_round(noisy):
     config = BoostConfig(rounds=200, depth=4, step=0.6, min_rows=5, row_fraction=1.0)
     model = boosting.fit_quantile(noisy, 0.5, config, patience=5)

@@ -2,15 +2,16 @@
 
 The pinball loss at 0.5 is half the absolute loss, so the same fit makes the point model and both
 bounds. Rows are cut into bins once. A tree grows level by level: each task counts its rows and
-those above the fit per node, feature and bin, the counts are added up on the executors, and the
-best splits follow from them. Every leaf then takes the quantile of its residuals. Fits
+those above the fit per node, feature and bin, the counts are shuffled by node and added up, and the
+best split of each node follows from them there. Every leaf then takes the quantile of its residuals,
+found on the executors alike. Fits
 stop by patience on the held-out loss and keep the rounds up to the best one.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import TypeVar
@@ -199,11 +200,31 @@ def bin_rows(rows: DataFrame, bins: int = BINS) -> BinnedRows:
     return BinnedRows(spark, blocks, edges, binned.where("held_out").limit(1).count() > 0)
 
 
-def merged(blocks: RDD, of: Callable[[Block], T], add: Callable[[T, T], T]) -> T | None:
-    """What ``of`` gives for each block, added up on the executors."""
-    join = lambda a, b: b if a is None else a if b is None else add(a, b)
-    parts = blocks.mapPartitions(lambda own: iter([reduce(join, map(of, own), None)]))
-    return parts.treeReduce(join) if parts.getNumPartitions() > 16 else reduce(join, parts.collect(), None)
+#: Tasks at most that add up counts or summaries; there is a key per node of a level or per leaf.
+ADDING_TASKS = 16
+#: Summaries that are merged one after the other; more are merged in groups of as many.
+FAN_IN = 16
+
+
+def totals(blocks: RDD, of: Callable[[Block], dict], add: Callable[[T, T], T], end: Callable[[Hashable, T], object]) -> dict:
+    """What ``of`` gives for each block by key, added up in the order of the blocks where the shuffle puts the key.
+
+    The driver gets ``end`` of each sum only, so what it receives does not depend on the number of blocks.
+    """
+    join = lambda a, b: {k: add(a[k], b[k]) if k in a and k in b else a.get(k, b.get(k)) for k in a.keys() | b.keys()}
+    tasks = min(blocks.getNumPartitions(), ADDING_TASKS)
+
+    def own(at: int, part: Iterator[Block]) -> Iterator[tuple]:
+        return ((k, (at, v)) for k, v in reduce(join, map(of, part), {}).items())
+
+    def whole(pair: tuple) -> tuple:
+        parts = [v for _, v in sorted(pair[1], key=lambda p: p[0])]
+        while len(parts) > 1:
+            parts = [reduce(add, parts[i : i + FAN_IN]) for i in range(0, len(parts), FAN_IN)]
+        return pair[0], end(pair[0], parts[0])
+
+    pairs = blocks.mapPartitionsWithIndex(own)
+    return dict((pairs.groupByKey(tasks) if tasks > 1 else pairs.mapValues(lambda v: [v])).map(whole).collect())
 
 
 Summary = tuple[np.ndarray, np.ndarray]
@@ -249,19 +270,19 @@ def best_splits(counts: np.ndarray, alpha: float, min_rows: int) -> tuple[np.nda
     return at // gain.shape[2], at % gain.shape[2], flat[np.arange(len(gain)), at]
 
 
-def grow(blocks: RDD, number: int, alpha: float, config: BoostConfig, edges: list[np.ndarray], counted: np.ndarray, chosen: np.ndarray) -> FlatTree:
-    """One tree, level by level, from the counts of its root. Thresholds are bins until the end."""
+def grow(blocks: RDD, number: int, alpha: float, config: BoostConfig, edges: list[np.ndarray], found: dict, chosen: np.ndarray) -> FlatTree:
+    """One tree, level by level, from the split of its root. Thresholds are bins until the end."""
     tree = FlatTree(*(np.array([v]) for v in (-1, 0.0, -1, -1, 0.0, 0.0)))
     level = np.array([0])
     for depth in range(config.depth):
         if depth:
-            counted = merged(blocks, counter(number, config, chosen, tree, level), np.add)
-        feature, last, gain = best_splits(counted, alpha, config.min_rows)
-        split = np.flatnonzero(gain > 0)
-        if not len(split):
+            found = totals(blocks, counter(number, config, chosen, tree, level), np.add, split_of(alpha, config))
+        at = np.array([k for k in range(len(level)) if k in found and found[k][2] > 0], dtype=np.int64)
+        if not len(at):
             break
-        nodes, size = level[split], len(tree.feature)
-        tree.feature[nodes], tree.threshold[nodes], tree.gain[nodes] = chosen[feature[split]], last[split], gain[split]
+        feature, last, gain = (np.array(v) for v in zip(*(found[k] for k in at.tolist()), strict=True))
+        nodes, size = level[at], len(tree.feature)
+        tree.feature[nodes], tree.threshold[nodes], tree.gain[nodes] = chosen[feature], last, gain
         tree.left[nodes], tree.right[nodes] = size + 2 * np.arange(len(nodes)), size + 2 * np.arange(len(nodes)) + 1
         more = 2 * len(nodes)
         tree = FlatTree(*(np.append(a, np.full(more, v)) for a, v in zip((tree.feature, tree.threshold, tree.left, tree.right, tree.value, tree.gain), (-1, 0.0, -1, -1, 0.0, 0.0), strict=True)))
@@ -269,13 +290,23 @@ def grow(blocks: RDD, number: int, alpha: float, config: BoostConfig, edges: lis
     return tree
 
 
-def counter(number: int, config: BoostConfig, chosen: np.ndarray, tree: FlatTree | None, level: np.ndarray) -> Callable[[Block], np.ndarray]:
-    """Counts of a block's drawn rows per node of the level, chosen feature and bin."""
+def split_of(alpha: float, config: BoostConfig) -> Callable[[Hashable, np.ndarray], object]:
+    """The best split (feature, last bin, gain) from a node's counts; the held-out loss stays as it is."""
+    least = config.min_rows
+
+    def split(key: Hashable, counts: np.ndarray) -> object:
+        return counts.tolist() if key == LOSS else tuple(v.item() for v in best_splits(counts[None], alpha, least))
+
+    return split
+
+
+def counter(number: int, config: BoostConfig, chosen: np.ndarray, tree: FlatTree | None, level: np.ndarray) -> Callable[[Block], dict[int, np.ndarray]]:
+    """Counts of a block's drawn rows per chosen feature and bin for each place in the level that has rows."""
     where = np.full(1 if tree is None else len(tree.feature), -1)
     where[level] = np.arange(len(level))
     share = config.row_fraction
 
-    def count(block: Block) -> np.ndarray:
+    def count(block: Block) -> dict[int, np.ndarray]:
         rows = block.drawn(number, share)
         bins = block.bins[rows]
         node = np.zeros(len(rows), dtype=np.int64) if tree is None else where[places(tree, bins)]
@@ -284,7 +315,8 @@ def counter(number: int, config: BoostConfig, chosen: np.ndarray, tree: FlatTree
         cell = (node[:, None] * len(chosen) + np.arange(len(chosen))) * BINS + bins[:, chosen]
         size = len(level) * len(chosen) * BINS
         both = [np.bincount(c.reshape(-1), minlength=size) for c in (cell, cell[above])]
-        return np.stack(both, axis=1).reshape(len(level), len(chosen), BINS, 2)
+        counts = np.stack(both, axis=1).reshape(len(level), len(chosen), BINS, 2)
+        return {k: counts[k] for k in np.unique(node).tolist()}
 
     return count
 
@@ -301,15 +333,16 @@ def fit_quantile(
 
     ``patience`` rounds without a lower held-out loss end the fit, and the rounds after
     the best one are dropped; without held-out rows all rounds are fitted. Each round draws a
-    share of the rows and of the features. A round takes a job per level and one for the leaves; the driver sees the
-    counts per node, feature and bin, and a bounded summary of residuals per leaf.
+    share of the rows and of the features. A round takes a job per level and one for the leaves; the driver sees a
+    split per node and a value per leaf, however many rows and blocks there are.
     """
     data = rows if isinstance(rows, BinnedRows) else bin_rows(rows)
     sc, edges = data.spark.sparkContext, data.edges
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(scratch_dir(data.spark))
     both = lambda a, b: summary(np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]]))
-    start = at_share(merged(data.blocks, lambda b: summary(b.label[~b.held_out]), both), alpha)
+    quantile = lambda _, found: at_share(found, alpha)
+    start = totals(data.blocks, lambda b: {0: summary(b.label[~b.held_out])}, both, quantile)[0]
     model = QuantileBoost(alpha, start, config.step)
     kept: list[RDD] = []
     blocks = moved(data.blocks, kept, lambda b: replace(b, fit=np.full(len(b.label), start)))
@@ -317,7 +350,8 @@ def fit_quantile(
     for number in range(1, config.rounds + 2):
         chosen = np.sort(np.random.default_rng([config.seed, number]).permutation(len(edges))[:per_round])
         root = counter(number + config.seed, config, chosen, None, np.array([0]))
-        counted, loss = merged(blocks, lambda b, root=root: (root(b), held_out_loss(b, alpha)), lambda a, b: (a[0] + b[0], (a[1][0] + b[1][0], a[1][1] + b[1][1])))
+        found = totals(blocks, lambda b, root=root: {**root(b), LOSS: held_out_loss(b, alpha)}, np.add, split_of(alpha, config))
+        loss = found.pop(LOSS)
         if data.has_held_out and number > 1:
             model.losses.append(loss[0] / loss[1] / LOSS_SCALE)
             if model.losses[-1] < best:
@@ -326,10 +360,9 @@ def fit_quantile(
                 break
         if number > config.rounds:
             break
-        tree = grow(blocks, number + config.seed, alpha, config, edges, counted, chosen)
-        leaves = merged(blocks, lambda b, tree=tree: residuals(b, tree), lambda a, b: {k: both(a[k], b[k]) if k in a and k in b else a.get(k, b.get(k)) for k in a.keys() | b.keys()})
-        for leaf, found in leaves.items():
-            tree.value[leaf] = at_share(found, alpha)
+        tree = grow(blocks, number + config.seed, alpha, config, edges, found, chosen)
+        for leaf, value in totals(blocks, lambda b, tree=tree: residuals(b, tree), both, quantile).items():
+            tree.value[leaf] = value
         step = config.step
         blocks = moved(blocks, kept, lambda b, tree=tree: replace(b, fit=b.fit + step * tree.predict(b.bins)))
         if number % CUT_EVERY == 0:
@@ -343,18 +376,21 @@ def fit_quantile(
     return model
 
 
-LOSS_SCALE = 1_000_000
+#: The key of the held-out loss beside the places of a level.
+LOSS, LOSS_SCALE = -1, 1_000_000
 
 
-def held_out_loss(block: Block, alpha: float) -> tuple[int, int]:
+def held_out_loss(block: Block, alpha: float) -> np.ndarray:
     """Sum of the held-out rows' loss in millionths, and their number; whole numbers add up alike in any order."""
     left = (block.label - block.fit)[block.held_out]
-    return int(np.rint(np.maximum(left * alpha, left * (alpha - 1)) * LOSS_SCALE).sum()), len(left)
+    return np.array([int(np.rint(np.maximum(left * alpha, left * (alpha - 1)) * LOSS_SCALE).sum()), len(left)], dtype=object)
 
 
 def residuals(block: Block, tree: FlatTree) -> dict[int, Summary]:
     """Per leaf a summary of what the training rows lie above the fit."""
     rows = np.flatnonzero(~block.held_out)
+    if not len(rows):
+        return {}
     leaf, left = places(tree, block.bins[rows]), (block.label - block.fit)[rows]
     order = np.argsort(leaf, kind="stable")
     ends = np.flatnonzero(np.diff(leaf[order], append=-1)) + 1
