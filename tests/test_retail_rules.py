@@ -14,6 +14,7 @@ from tillwise.operators import customers as cust
 from tillwise.operators import features as feat
 from tillwise.operators import inventory as inv
 from tillwise.operators import metrics, panel, sales
+from tillwise.plans import queries
 from tillwise.plans import reports as rep
 
 MONDAY = date(2015, 1, 5)
@@ -361,3 +362,28 @@ def test_slices_and_ranges(spark):
     assert rep.forecast_slice(df, category="FOODS").count() == 2 and rep.forecast_slice(df).count() == 3
     periods = spark.createDataFrame([(w,) for w in weeks(60)], "week date")
     assert [rep.last_periods(periods, "week", n).count() for n in rep.WEEK_RANGES.values()] == [26, 52, 60]
+
+
+def test_a_task_pivots_a_bounded_number_of_sales(spark, tmp_path, monkeypatch):
+    """The wide rows of a task do not grow with the table, and the sums are those of the long form."""
+    n = 2000
+    id_ = F.col("id")
+    lines = spark.range(n).select(
+        id_.alias("l_orderkey"), (id_ % 397).alias("l_partkey"), (id_ % 4).alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        (1 + id_ % 5).cast("double").alias("l_quantity"), F.lit(100.0).alias("l_extendedprice"), F.lit(0.0).alias("l_discount"),
+        F.lit(0.0).alias("l_tax"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.expr("cast(date_add(date'1995-01-01', cast(id % 90 as int)) as timestamp_ntz)").alias("l_shipdate"),
+    )
+    suppliers = spark.sql("SELECT id AS s_suppkey, 's' AS s_name, cast(id AS int) AS s_nationkey, 0D AS s_acctbal FROM range(4)")
+    nations = spark.sql("SELECT cast(id AS int) AS n_nationkey, 'n' AS n_name, cast(id AS int) AS n_regionkey FROM range(4)")
+    for name, df in (("lineitem", lines), ("supplier", suppliers), ("nation", nations)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(sales, "PIVOT_ROWS", 50, raising=False)
+    got = queries.unpivot_sales(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).toPandas()
+    per_task = got.drop_duplicates(["item_id", "store_id"]).groupby("task").size()
+    assert per_task.max() <= 150 and len(per_task) > 20
+    long = lines.toPandas()
+    long["d"] = "d_" + long.l_shipdate.dt.day.astype(str)
+    long["store_id"] = [f"{('CA', 'TX', 'WI')[s % 3]}_{s}" for s in long.l_suppkey]
+    wanted = long.groupby(["l_partkey", "store_id", "d"]).l_quantity.sum().astype(int)
+    assert got.set_index(["item_id", "store_id", "d"]).quantity.to_dict() == wanted.to_dict()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -12,12 +13,28 @@ from tillwise.functions.columns import constant_map, money_sum, order_key
 from tillwise.operators.ranks import grouped_median
 from tillwise.staging import stage
 
+#: Sales that a task turns into the wide form; each may become a wide row of its own, of some 400 bytes.
+PIVOT_ROWS = 200_000
+
 
 def day_columns(wide: DataFrame, prefix: str = "d_") -> list[str]:
     """The day columns, found from the schema alone."""
     return [c for c in wide.columns if c.startswith(prefix)]
 
 
+def pivot_sales(
+    sales: DataFrame, ids: Sequence[str], day: str, quantity: str, days: Sequence[str], rows: int
+) -> DataFrame:
+    """One row per id with the units of each of ``days`` as a column, null without sales.
+
+    A wide row is far larger than a sale, so the sales are dealt by their ids into tasks of some
+    ``PIVOT_ROWS`` of the about ``rows`` sales: a task holds no more wide rows than that, whatever the size of
+    the table, and both sums of the pivot go by that one shuffle.
+    """
+    dealt = sales.select(*ids, day, quantity).repartition(max(1, math.ceil(rows / PIVOT_ROWS)), *ids)
+    return dealt.groupBy(*ids).pivot(day, list(days)).agg(F.sum(quantity))
+
+
 def unpivot_sales(wide: DataFrame, ids: Sequence[str], prefix: str = "d_") -> DataFrame:
     """One row per id and day with units sold; days without sales are dropped.
 
