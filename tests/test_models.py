@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark import RDD
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from tillwise.config import FEATURES, BoostConfig
 from tillwise.operators import boosting, churn, clusters, clv, demand
 from tillwise.operators.metrics import temporal_split
 from tillwise.plans import reports
+from tillwise.staging import scratch_dir
 
 
 def test_log_gamma():
@@ -367,6 +369,34 @@ def test_clusters_and_silhouette(spark):
     assert reports.best_k(clusters.k_diagnostics(df, "customer_id", ks=[2, 4], n_init=2)).first().k == 4
 
 
+def test_fits_share_their_passes_and_equal_mllib(spark, monkeypatch):
+    """Each fit is MLlib's of the same seed, but a pass over the rows serves all of them."""
+    points = np.random.default_rng(9).random((900, 3)).tolist()
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(points)], "id int, x array<double>").repartition(3, "id").select("id", array_to_vector("x").alias("_v"))
+    rows.write.parquet(place := f"{scratch_dir(spark)}/shared-passes")
+    rows = spark.read.parquet(place)
+    calls, real = [], clusters.totals
+    monkeypatch.setattr(clusters, "totals", lambda *a: calls.append(1) or real(*a))
+    got = clusters.best_fits(rows, [2, 5], 3)
+    fits = {k: [KMeans(featuresCol="_v", k=k, seed=42 + i, maxIter=300, tol=1e-4).fit(rows) for i in range(3)] for k in (2, 5)}
+    passes = [m.summary.numIter for own in fits.values() for m in own]
+    assert len(calls) == max(passes) < sum(passes) / 2
+    for k, own in fits.items():
+        best = min(own, key=lambda m: m.summary.trainingCost)
+        assert got[k].cost == pytest.approx(best.summary.trainingCost, rel=1e-9)
+        assert np.allclose(got[k].centres, best.clusterCenters(), atol=1e-9)
+        mine = got[k].assign(rows).select("id", "cluster")
+        assert mine.exceptAll(best.transform(rows).select("id", F.col("prediction").alias("cluster"))).count() == 0
+
+
+def test_references_do_not_depend_on_the_tasks(spark):
+    """The rows that stand for a cluster are the same from one task or seven."""
+    points, centres = np.random.default_rng(3).random((300, 2)), np.array([[0.2, 0.2], [0.8, 0.8], [0.2, 0.9]])
+    rows = spark.createDataFrame([(i // 2, p) for i, p in enumerate(points.tolist())], "id int, x array<double>").select("id", array_to_vector("x").alias("_v"))
+    one, seven = (clusters.silhouettes(rows.repartition(n), "id", [centres, centres[:2]], most=20) for n in (1, 7))
+    assert np.allclose(one, seven, atol=1e-9) and min(e for _, e in one) > 0
+
+
 def test_silhouette_equals_the_definition(spark):
     rng = np.random.default_rng(1)
     points, centres = rng.random((60, 2)), np.array([[0.2, 0.2], [0.8, 0.8], [0.2, 0.9], [5.0, 5.0]])

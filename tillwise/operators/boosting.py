@@ -13,8 +13,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Hashable, Iterator
 from dataclasses import dataclass, field, replace
-from functools import reduce
-from typing import TypeVar
 
 import numpy as np
 import pandas as pd
@@ -24,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.config import BoostConfig
+from tillwise.operators.parallel import totals
 from tillwise.staging import scratch_dir, stage
 
 ACCURACY = 10_000
@@ -37,7 +36,6 @@ _MODEL_SCHEMA = (
     "tree int, alpha double, step double, start double, feature array<int>, threshold array<double>, "
     "left array<int>, right array<int>, value array<double>, gain array<double>, losses array<double>"
 )
-T = TypeVar("T")
 
 
 @dataclass
@@ -200,33 +198,6 @@ def bin_rows(rows: DataFrame, bins: int = BINS) -> BinnedRows:
     return BinnedRows(spark, blocks, edges, binned.where("held_out").limit(1).count() > 0)
 
 
-#: Tasks at most that add up counts or summaries; there is a key per node of a level or per leaf.
-ADDING_TASKS = 16
-#: Summaries that are merged one after the other; more are merged in groups of as many.
-FAN_IN = 16
-
-
-def totals(blocks: RDD, of: Callable[[Block], dict], add: Callable[[T, T], T], end: Callable[[Hashable, T], object]) -> dict:
-    """What ``of`` gives for each block by key, added up in the order of the blocks where the shuffle puts the key.
-
-    The driver gets ``end`` of each sum only, so what it receives does not depend on the number of blocks.
-    """
-    join = lambda a, b: {k: add(a[k], b[k]) if k in a and k in b else a.get(k, b.get(k)) for k in a.keys() | b.keys()}
-    tasks = min(blocks.getNumPartitions(), ADDING_TASKS)
-
-    def own(at: int, part: Iterator[Block]) -> Iterator[tuple]:
-        return ((k, (at, v)) for k, v in reduce(join, map(of, part), {}).items())
-
-    def whole(pair: tuple) -> tuple:
-        parts = [v for _, v in sorted(pair[1], key=lambda p: p[0])]
-        while len(parts) > 1:
-            parts = [reduce(add, parts[i : i + FAN_IN]) for i in range(0, len(parts), FAN_IN)]
-        return pair[0], end(pair[0], parts[0])
-
-    pairs = blocks.mapPartitionsWithIndex(own)
-    return dict((pairs.groupByKey(tasks) if tasks > 1 else pairs.mapValues(lambda v: [v])).map(whole).collect())
-
-
 Summary = tuple[np.ndarray, np.ndarray]
 
 
